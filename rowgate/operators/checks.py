@@ -252,7 +252,7 @@ def run_checks(
     """Check results, one row per check, of all suites over their tables.
 
     The counts of all tables are one job. They are one row per declared check, and are
-    looked at here only to see which checks need samples.
+    looked at here only to see which checks need samples; ``sample_size=0`` takes none.
     """
     spark = next(iter(tables.values())).sparkSession
     area = area or StagingArea(spark)
@@ -261,8 +261,9 @@ def run_checks(
     )
     counts = area.stage(counts.coalesce(1), "check-counts")
     failed: dict[str, set[str]] = {s.table: set() for s in suites}
-    for row in counts.where(F.col("check").isNotNull() & (F.col("n") > 0)).collect():
-        failed[row["table"]].add(row["check"])
+    if sample_size:
+        for row in counts.where(F.col("check").isNotNull() & (F.col("n") > 0)).collect():
+            failed[row["table"]].add(row["check"])
 
     totals = counts.where(F.col("check").isNull()).select("table", F.col("n").alias("row_count"))
     ordinals = {s.table: sum(len(t.checks) for t in suites[:i]) for i, s in enumerate(suites)}

@@ -23,7 +23,8 @@ _VERDICT = (
 
 def _entries(key: str, value: Column) -> Column:
     """A map in the order of ``ord`` from grouped rows."""
-    rows = F.array_sort(F.collect_list(F.struct("ord", F.col(key).alias("k"), value.alias("v"))))
+    rows = F.collect_list(F.struct("ord", F.col(key).alias("k"), value.alias("v")))
+    rows = F.array_sort(rows, lambda a, b: (a["ord"] - b["ord"]).cast("int"))
     return F.map_from_entries(F.transform(rows, lambda r: F.struct(r["k"], r["v"])))
 
 
