@@ -45,7 +45,8 @@ def _tidy(c: Column) -> Column:
     c = F.regexp_replace(
         c, r"(?<=^\d{4}[-/])(?=[1-9][-/])|(?<=^\d{4}[-/]\d{1,2}[-/])(?=[1-9]\z)", "0"
     )
-    return F.regexp_replace(c, r"^(\d{1,2}/\d{1,2}/)(69|[7-9]\d)\z", "$119$2")
+    c = F.regexp_replace(c, r"^(\d{1,2}/\d{1,2}/)(69|[7-9]\d)\z", "$119$2")
+    return F.regexp_replace(c, r"^\z", "-")  # nothing left: not a date either
 
 
 def _non_empty(c: Column) -> Column:
@@ -60,7 +61,7 @@ def parse_date(c: Column) -> Column:
     """
     return F.coalesce(
         F.try_to_date(_non_empty(c), DATE_PATTERN),
-        F.try_to_date(_non_empty(_tidy(c)), DATE_PATTERN),
+        F.try_to_date(_tidy(c), DATE_PATTERN),
     )
 
 

@@ -13,9 +13,9 @@ from .rules import untagged
 from .split import POSITION, REASON, accepted
 
 
-def pin_positions(df: DataFrame, area: StagingArea, name: str = "rows") -> DataFrame:
-    """Number the rows in scan order and write them, so that the numbers are final."""
-    return area.stage(df.withColumn(POSITION, F.monotonically_increasing_id()), name)
+def with_positions(df: DataFrame) -> DataFrame:
+    """Number the rows in scan order. The numbers are final once the rows are staged."""
+    return df.withColumn(POSITION, F.monotonically_increasing_id())
 
 
 def _winners(
@@ -58,7 +58,7 @@ def tag_duplicates(
     keys = [keys] if isinstance(keys, str) else list(keys)
     area = StagingArea.for_frame(df, area)
     df = df if REASON in df.columns else untagged(df)
-    df = df if POSITION in df.columns else pin_positions(df, area)
+    df = df if POSITION in df.columns else area.stage(with_positions(df), "rows")
     winners = _winners(df.where(accepted()), keys, order_by, area)
     same_key = [F.col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)]
     loses = accepted() & (F.col("_keep") != F.col(POSITION))

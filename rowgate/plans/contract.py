@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame
 
 from .. import fixed_values as fixed
 from ..operators.checks import Check, Suite
-from ..operators.duplicates import pin_positions, tag_duplicates
+from ..operators.duplicates import tag_duplicates, with_positions
 from ..operators.normalize import ColumnRule, normalize
 from ..operators.outliers import tag_outliers
 from ..operators.references import tag_orphans
 from ..operators.rules import RowRule, tag_rows, untagged
+from ..session import spread, tune
 from ..sources.staging import StagingArea
 
 
@@ -86,14 +87,16 @@ def tag_table(
     are then found on the few columns they need.
     """
     area = StagingArea.for_frame(raw, area)
-    df = untagged(normalize(raw, contract.columns, contract.derived))
+    tune(raw.sparkSession)
+    df = spread(with_positions(raw))
+    df = untagged(normalize(df, contract.columns, contract.derived))
     staged = False
     for is_row_rule, group in groupby(contract.rules, lambda rule: isinstance(rule, RowRule)):
         if is_row_rule:
             df = tag_rows(df, list(group))
             continue
         if not staged:
-            df, staged = pin_positions(df, area, contract.name), True
+            df, staged = area.stage(df, contract.name), True
         for rule in group:
             df = _tag_by_table(df, rule, parents, area)
     return df
@@ -109,18 +112,15 @@ def _tag_by_table(
     return tag_orphans(df, rule.column, parents[rule.table], rule.reason, rule.parent_key, area)
 
 
-def in_parent_order(contracts: Mapping[str, TableContract]) -> list[TableContract]:
-    """Contracts ordered so that each table follows the tables it refers to."""
-    ordered: dict[str, TableContract] = {}
-
-    def place(name: str, path: tuple[str, ...]) -> None:
-        if name in path:
-            raise ValueError(f"tables refer to each other in a circle: {' -> '.join((*path, name))}")
-        for parent in contracts[name].parents:
-            if parent in contracts and parent not in ordered:
-                place(parent, (*path, name))
-        ordered.setdefault(name, contracts[name])
-
-    for name in contracts:
-        place(name, ())
-    return list(ordered.values())
+def in_parent_order(contracts: Mapping[str, TableContract]) -> list[list[TableContract]]:
+    """Contracts in waves: each table comes after the tables it refers to."""
+    waves: list[list[TableContract]] = []
+    waiting = dict(contracts)
+    while waiting:
+        wave = [c for c in waiting.values() if waiting.keys().isdisjoint(c.parents)]
+        if not wave:
+            raise ValueError(f"tables refer to each other in a circle: {', '.join(waiting)}")
+        waves.append(wave)
+        for contract in wave:
+            del waiting[contract.name]
+    return waves

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,24 +21,40 @@ from ..sources.staging import StagingArea
 from .contract import TableContract, in_parent_order, tag_table
 
 
+T = TypeVar("T")
+R = TypeVar("R")
+
+
 class PublishBlocked(Exception):
     """The verdict does not allow publishing."""
 
 
+def at_once(spark: SparkSession, work: Callable[[T], R], items: Sequence[T]) -> list[R]:
+    """Apply ``work`` to all items from parallel threads, so that their jobs share the cluster."""
+    run = inheritable_thread_target(spark)(work)
+    with ThreadPoolExecutor(max_workers=len(items)) as pool:
+        return list(pool.map(run, items))
+
+
 def tag_tables(
     raw: Mapping[str, DataFrame], contracts: Mapping[str, TableContract], area: StagingArea
 ) -> dict[str, DataFrame]:
-    """Every table tagged, each after the tables it refers to.
+    """Every table tagged, each after the tables it refers to, otherwise at the same time.
 
     Parents are the accepted rows, so a rejected parent orphans its children. Each tagged
     table is written once: whatever reads it later sees the same decisions.
     """
     tagged: dict[str, DataFrame] = {}
-    for contract in in_parent_order(contracts):
+
+    def decide(contract: TableContract) -> DataFrame:
         parents = {name: clean_rows(tagged[name]) for name in contract.parents}
         decided = tag_table(raw[contract.name], contract, parents, area)
-        tagged[contract.name] = area.stage(decided, f"{contract.name}-tagged")
-    return tagged
+        return area.stage(decided, f"{contract.name}-tagged")
+
+    for wave in in_parent_order(contracts):
+        decided = at_once(area.spark, decide, wave)
+        tagged |= {contract.name: df for contract, df in zip(wave, decided)}
+    return {name: tagged[name] for name in contracts}
 
 
 def account(tagged: Mapping[str, DataFrame]) -> DataFrame:
@@ -58,8 +77,11 @@ def clean_stage(
     area = StagingArea(spark)
     raw = {name: read_csv(spark, sources[name], **csv_options) for name in contracts}
     tagged = tag_tables(raw, contracts, area)
-    for name, df in tagged.items():
-        write_split(df, f"{cleaned_dir}/{name}", f"{quarantine_dir}/{name}")
+
+    def write(name: str) -> None:
+        write_split(tagged[name], f"{cleaned_dir}/{name}", f"{quarantine_dir}/{name}")
+
+    at_once(spark, write, list(tagged))
     lines = account(tagged).collect()  # one line per table
     for line in lines:
         written = [read_parquet(spark, f"{d}/{line['table']}").count()
@@ -103,8 +125,8 @@ def publish_if(
 ) -> int:
     """Write ``gold`` if the verdict of the run allows it, else raise and write nothing.
 
-    The join is computed into a staged table and its size compared with the fact's first,
-    so neither a failed job nor a dimension with repeated keys reaches ``path``.
+    The joins run into a staged table first, whose size is compared with the fact's, so
+    neither a failed join nor a dimension with repeated keys reaches ``path``.
     """
     spark = gold.sparkSession
     if not may_publish(verdict, run_id):

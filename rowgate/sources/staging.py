@@ -28,7 +28,7 @@ class StagingArea:
     """A new folder for the intermediate tables of one run."""
 
     def __init__(self, spark: SparkSession, folder: str | None = None):
-        self._spark = spark
+        self.spark = spark
         self.path = f"{folder or _shared_folder(spark)}/rowgate-{uuid.uuid4().hex}"
 
     @classmethod
@@ -39,11 +39,11 @@ class StagingArea:
         """Write ``df`` once and return the written table."""
         path = f"{self.path}/{name}-{uuid.uuid4().hex[:8]}"
         df.write.parquet(path)
-        return self._spark.read.schema(df.schema).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def remove(self) -> None:
         """Delete the folder; every table staged here becomes unreadable."""
-        jvm = self._spark.sparkContext._jvm
+        jvm = self.spark.sparkContext._jvm
         folder = jvm.org.apache.hadoop.fs.Path(self.path)
-        conf = self._spark.sparkContext._jsc.hadoopConfiguration()
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         folder.getFileSystem(conf).delete(folder, True)
