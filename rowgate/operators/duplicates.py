@@ -34,12 +34,12 @@ def _winners(
     )
     repeated = groups.where(F.col("_copies") > 1).drop("_copies")
     if not order_by:
-        return area.stage(repeated, "winners")
+        return area.stage_keys(repeated, "winners")
     repeated = area.stage(repeated.drop("_keep"), "repeated-keys").alias("r")
     same_key = [F.col(f"n.{k}").eqNullSafe(F.col(f"r.{k}")) for k in names]
     first = F.min(F.struct(*order_by, POSITION)).getField(POSITION).alias("_keep")
     ordered = narrow.alias("n").join(repeated, same_key, "left_semi").groupBy(*names).agg(first)
-    return area.stage(ordered, "winners")
+    return area.stage_keys(ordered, "winners")
 
 
 def tag_duplicates(

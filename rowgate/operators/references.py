@@ -37,7 +37,7 @@ def tag_orphans(
     area = StagingArea.for_frame(df, area)
     df = df if REASON in df.columns else untagged(df)
     orphans = orphan_keys(df.where(accepted()), column, parents, parent_key or column)
-    orphans = area.stage(orphans, "orphan-keys")
+    orphans = area.stage_keys(orphans, "orphan-keys")
     missing = F.col(column).isNull() | F.col("_orphan").isNotNull()
     return (
         df.join(orphans, F.col(column) == F.col("_orphan"), "left")

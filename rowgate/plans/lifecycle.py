@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 from typing import TypeVar
 
@@ -36,25 +37,36 @@ def at_once(spark: SparkSession, work: Callable[[T], R], items: Sequence[T]) ->
         return list(pool.map(run, items))
 
 
-def tag_tables(
-    raw: Mapping[str, DataFrame], contracts: Mapping[str, TableContract], area: StagingArea
+def in_waves(
+    spark: SparkSession,
+    contracts: Mapping[str, TableContract],
+    work: Callable[[TableContract, Mapping[str, DataFrame]], DataFrame],
+    clean: Callable[[DataFrame], DataFrame],
 ) -> dict[str, DataFrame]:
-    """Every table tagged, each after the tables it refers to, otherwise at the same time.
+    """Apply ``work`` to each contract and its parents' clean rows, parents first.
 
-    Parents are the accepted rows, so a rejected parent orphans its children. Each tagged
-    table is written once: whatever reads it later sees the same decisions.
+    Tables that do not wait for each other are worked on at the same time. A parent's clean
+    rows are its accepted ones, so a rejected parent orphans its children.
     """
-    tagged: dict[str, DataFrame] = {}
+    done: dict[str, DataFrame] = {}
+    for wave in in_parent_order(contracts):
+        results = at_once(
+            spark, lambda c: work(c, {name: clean(done[name]) for name in c.parents}), wave
+        )
+        done |= {contract.name: df for contract, df in zip(wave, results)}
+    return {name: done[name] for name in contracts}
+
+
+def tag_tables(
+    raw: Mapping[str, DataFrame], contracts: Mapping[str, TableContract], area: StagingArea
+) -> dict[str, DataFrame]:
+    """Every table tagged and written once with its tags."""
 
-    def decide(contract: TableContract) -> DataFrame:
-        parents = {name: clean_rows(tagged[name]) for name in contract.parents}
+    def tag(contract: TableContract, parents: Mapping[str, DataFrame]) -> DataFrame:
         decided = tag_table(raw[contract.name], contract, parents, area)
         return area.stage(decided, f"{contract.name}-tagged")
 
-    for wave in in_parent_order(contracts):
-        decided = at_once(area.spark, decide, wave)
-        tagged |= {contract.name: df for contract, df in zip(wave, decided)}
-    return {name: tagged[name] for name in contracts}
+    return in_waves(area.spark, contracts, tag, clean_rows)
 
 
 def account(tagged: Mapping[str, DataFrame]) -> DataFrame:
@@ -62,6 +74,16 @@ def account(tagged: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, (accounting(df, name) for name, df in tagged.items()))
 
 
+@dataclass(frozen=True)
+class Account:
+    """Rows of one table that were read and written."""
+
+    table: str
+    rows_in: int
+    rows_cleaned: int
+    rows_quarantined: int
+
+
 def clean_stage(
     spark: SparkSession,
     contracts: Mapping[str, TableContract],
@@ -69,26 +91,41 @@ def clean_stage(
     cleaned_dir: str,
     quarantine_dir: str,
     **csv_options,
-) -> list:
+) -> list[Account]:
     """Read the raw files, write clean and quarantined rows per table, return the accounting.
 
+    Both sides come from the same staged rows, key lists and statistics, so they agree on
+    every row. They are two map-only passes while the key lists are broadcast; where one is
+    too large for that, the tagged table is staged first and the rows shuffled only once.
     Raises if the rows written do not add up to the rows read.
     """
     area = StagingArea(spark)
-    raw = {name: read_csv(spark, sources[name], **csv_options) for name in contracts}
-    tagged = tag_tables(raw, contracts, area)
-
-    def write(name: str) -> None:
-        write_split(tagged[name], f"{cleaned_dir}/{name}", f"{quarantine_dir}/{name}")
-
-    at_once(spark, write, list(tagged))
-    lines = account(tagged).collect()  # one line per table
-    for line in lines:
-        written = [read_parquet(spark, f"{d}/{line['table']}").count()
-                   for d in (cleaned_dir, quarantine_dir)]
-        if [line["rows_cleaned"], line["rows_quarantined"]] != written:
-            raise RuntimeError(f"{line['table']}: expected {line}, wrote {written}")
+    read: dict[str, DataFrame] = {}
+
+    def clean(contract: TableContract, parents: Mapping[str, DataFrame]) -> DataFrame:
+        name, part = contract.name, area.part(contract.name)
+        raw = read_csv(spark, sources[name], **csv_options)
+        tagged = tag_table(raw, contract, parents, part)
+        read[name] = part.tables.get(name, raw)  # counting staged rows parses no text again
+        if not part.keys_broadcast():
+            tagged = part.stage(tagged, "tagged")
+        write_split(tagged, f"{cleaned_dir}/{name}", f"{quarantine_dir}/{name}")
+        return read_parquet(spark, f"{cleaned_dir}/{name}")
+
+    cleaned = in_waves(spark, contracts, clean, lambda df: df)
+    lines = [
+        Account(
+            name,
+            read[name].count(),
+            cleaned[name].count(),
+            read_parquet(spark, f"{quarantine_dir}/{name}").count(),
+        )
+        for name in contracts
+    ]
     area.remove()
+    for line in lines:
+        if line.rows_in != line.rows_cleaned + line.rows_quarantined:
+            raise RuntimeError(f"rows do not add up: {line}")
     return lines
 
 

@@ -30,20 +30,46 @@ class StagingArea:
     def __init__(self, spark: SparkSession, folder: str | None = None):
         self.spark = spark
         self.path = f"{folder or _shared_folder(spark)}/rowgate-{uuid.uuid4().hex}"
+        self.tables: dict[str, DataFrame] = {}
+        self._key_bytes = 0
+
+    def part(self, name: str) -> StagingArea:
+        """An area of its own for one table, within this folder."""
+        return StagingArea(self.spark, f"{self.path}/{name}")
 
     @classmethod
     def for_frame(cls, df: DataFrame, area: StagingArea | None = None) -> StagingArea:
         return area or cls(df.sparkSession)
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` once and return the written table."""
-        path = f"{self.path}/{name}-{uuid.uuid4().hex[:8]}"
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        """Write ``df`` once and return the written table, also kept in ``tables``."""
+        self.tables[name] = self._write(df, name)[0]
+        return self.tables[name]
+
+    def stage_keys(self, df: DataFrame, name: str) -> DataFrame:
+        """Stage a table of keys that whole rows are then joined with."""
+        keys, path = self._write(df, name)
+        fs, folder = self._file_system(path)
+        self._key_bytes = max(self._key_bytes, fs.getContentSummary(folder).getLength())
+        return keys
+
+    def keys_broadcast(self) -> bool:
+        """Whether each key table staged here is small enough to be broadcast."""
+        limit = self.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        jvm = self.spark.sparkContext._jvm
+        limit = jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)
+        return self._key_bytes <= limit
 
     def remove(self) -> None:
         """Delete the folder; every table staged here becomes unreadable."""
-        jvm = self.spark.sparkContext._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.path)
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        folder.getFileSystem(conf).delete(folder, True)
+        fs, folder = self._file_system(self.path)
+        fs.delete(folder, True)
+
+    def _write(self, df: DataFrame, name: str) -> tuple[DataFrame, str]:
+        path = f"{self.path}/{name}-{uuid.uuid4().hex[:8]}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path), path
+
+    def _file_system(self, path: str):
+        folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), folder
