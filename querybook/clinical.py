@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 
 from rowgate import fixed_values as fixed
 from rowgate.operators.checks import run_checks
+from rowgate.operators.duplicates import with_positions
 from rowgate.operators.enrich import enrich
 from rowgate.operators.histogram import histograms
 from rowgate.operators.split import clean_rows, rejections_by_reason
 from rowgate.operators.verdict import verdicts
 from rowgate.plans.healthcare import CHARTS, FACT, FACT_DIMENSIONS, healthcare
 from rowgate.plans.lifecycle import tag_tables
+from rowgate.session import spread
 from rowgate.sources import StagingArea
 
 from .book import pick, query
@@ -245,7 +247,7 @@ def tagged(t, *names: str) -> dict[str, DataFrame]:
         needed.add(name)
         pending += contracts[name].parents
     chosen = {name: contracts[name] for name in contracts if name in needed}
-    raw = {name: MESSY[name](t) for name in chosen}
+    raw = {name: spread(with_positions(MESSY[name](t))) for name in chosen}
     return tag_tables(raw, chosen, StagingArea(t.spark))
 
 

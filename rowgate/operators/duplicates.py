@@ -23,23 +23,19 @@ def _winners(
 ) -> DataFrame:
     """The position of the row to keep, for each key that occurs more than once.
 
-    Only aggregates that combine before the shuffle, so a key that holds a large part
-    of the table sends one row per task. Neither sorts the whole table.
+    One aggregation of the key, order and position columns. It combines before the shuffle,
+    so a key that holds a large part of the table sends one row per task.
     """
-    by_key = [F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)]
-    names = [f"_key_{i}" for i in range(len(keys))]
-    narrow = candidates.select(*by_key, POSITION, *order_by)
-    groups = narrow.groupBy(*names).agg(
-        F.count(F.lit(1)).alias("_copies"), F.min(POSITION).alias("_keep")
+    first = F.min(POSITION)
+    if order_by:
+        first = F.min(F.struct(*order_by, POSITION)).getField(POSITION)
+    return area.stage_keys(
+        candidates.groupBy(*(F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)))
+        .agg(F.count(F.lit(1)).alias("_copies"), first.alias("_keep"))
+        .where(F.col("_copies") > 1)
+        .drop("_copies"),
+        "winners",
     )
-    repeated = groups.where(F.col("_copies") > 1).drop("_copies")
-    if not order_by:
-        return area.stage_keys(repeated, "winners")
-    repeated = area.stage(repeated.drop("_keep"), "repeated-keys").alias("r")
-    same_key = [F.col(f"n.{k}").eqNullSafe(F.col(f"r.{k}")) for k in names]
-    first = F.min(F.struct(*order_by, POSITION)).getField(POSITION).alias("_keep")
-    ordered = narrow.alias("n").join(repeated, same_key, "left_semi").groupBy(*names).agg(first)
-    return area.stage_keys(ordered, "winners")
 
 
 def tag_duplicates(

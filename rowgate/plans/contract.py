@@ -15,7 +15,8 @@ from ..operators.normalize import ColumnRule, normalize
 from ..operators.outliers import tag_outliers
 from ..operators.references import tag_orphans
 from ..operators.rules import RowRule, tag_rows, untagged
-from ..session import spread, tune
+from ..operators.split import POSITION
+from ..session import tune
 from ..sources.staging import StagingArea
 
 
@@ -88,7 +89,7 @@ def tag_table(
     """
     area = StagingArea.for_frame(raw, area)
     tune(raw.sparkSession)
-    df = spread(with_positions(raw))
+    df = raw if POSITION in raw.columns else with_positions(raw)
     df = untagged(normalize(df, contract.columns, contract.derived))
     staged = False
     for is_row_rule, group in groupby(contract.rules, lambda rule: isinstance(rule, RowRule)):

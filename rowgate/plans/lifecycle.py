@@ -13,9 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.checks import run_checks
+from ..operators.duplicates import with_positions
 from ..operators.enrich import Dimension, enrich
 from ..operators.split import accounting, clean_rows
 from ..operators.verdict import verdicts
+from ..session import spread, tune
 from ..sources.files import read_csv, read_parquet, write_parquet, write_split
 from ..sources.reports import read_report, read_verdict, write_report, write_verdict
 from ..sources.staging import StagingArea
@@ -104,7 +106,7 @@ def clean_stage(
 
     def clean(contract: TableContract, parents: Mapping[str, DataFrame]) -> DataFrame:
         name, part = contract.name, area.part(contract.name)
-        raw = read_csv(spark, sources[name], **csv_options)
+        raw = spread(with_positions(read_csv(spark, sources[name], **csv_options)))
         tagged = tag_table(raw, contract, parents, part)
         read[name] = part.tables.get(name, raw)  # counting staged rows parses no text again
         if not part.keys_broadcast():
@@ -137,6 +139,7 @@ def check_stage(
     run_id: str,
 ) -> DataFrame:
     """Run every check on the clean tables and write the report."""
+    tune(spark)
     tables = {name: read_parquet(spark, f"{cleaned_dir}/{name}") for name in contracts}
     area = StagingArea(spark)
     results = run_checks(tables, [c.suite for c in contracts.values()], run_id, area=area)

@@ -16,11 +16,12 @@ def tune(spark: SparkSession) -> None:
         spark.conf.set(name, value)
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(scan: DataFrame) -> DataFrame:
     """Spread a scan of few partitions over the cores; leave any other as it is.
 
     A file that cannot be split, or is one row group, would otherwise be parsed by one
-    core. A table with work for half of the cores or more is not shuffled.
+    core. A scan with work for half of the cores or more is not shuffled. For plain scans
+    only: asking a plan with shuffles for its partitions would run them.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() * 2 <= cores else scan
