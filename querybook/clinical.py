@@ -25,7 +25,7 @@ from rowgate.session import spread
 from rowgate.sources import StagingArea
 
 from .book import pick, query
-from .quality import VERDICT_SELECT, VERDICT_SQL, verdict_text
+from .quality import VERDICT_SELECT, VERDICT_SQL, histogram_sql, verdict_text
 from .scalars import BOOL_WORDS, DATE_LAYOUTS, written
 
 AS_OF = date(2026, 6, 27)
@@ -599,8 +599,12 @@ def clinical_gold(t):
     return enrich(tables[FACT], tables, FACT_DIMENSIONS)
 
 
-@query()
+@query(
+    f"{with_tables(*MESSY)}, {_CLEAN_SQL}"
+    + " UNION ALL ".join(histogram_sql(axis, f"{axis.table}_c") for axis in CHARTS)
+)
 def clinical_histograms(t):
     """The six charted columns of the cleaned tables, fifty bins each."""
     tables = {n: clean_rows(df) for n, df in tagged(t, "vitals", "medications").items()}
-    return histograms(tables, CHARTS)
+    counted = histograms(tables, CHARTS)
+    return counted.withColumns({"low": F.round("low", 6), "high": F.round("high", 6)})

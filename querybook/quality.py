@@ -346,9 +346,11 @@ _AXES = [
 ]
 
 
-def _histogram_sql(table, column, low, high):
+def histogram_sql(axis: Axis, table: str) -> str:
+    """The same histogram from a SQL table; bins meet the same edges."""
+    column, low, high = axis.column, axis.limit_low, axis.limit_high
     return f"""
-      SELECT '{table}' AS "table", '{column}' AS "column", b.bin::INTEGER AS bin,
+      SELECT '{axis.table}' AS "table", '{column}' AS "column", b.bin::INTEGER AS bin,
              round(lo + b.bin * w, 6) AS low,
              round(CASE WHEN b.bin = 49 THEN hi ELSE lo + (b.bin + 1) * w END, 6) AS high,
              count(x.bin) AS row_count, {low}::DOUBLE AS limit_low, {high}::DOUBLE AS limit_high
@@ -359,12 +361,13 @@ def _histogram_sql(table, column, low, high):
                              WHEN v < lo + g * w THEN g - 1 ELSE g END AS bin
                  FROM (SELECT {column} AS v, lo, (hi - lo) / 50 AS w,
                               least(floor(({column} - lo) / (hi - lo) * 50), 49) AS g
-                       FROM {table}, (SELECT min({column}) AS lo, max({column}) AS hi FROM {table}))
+                       FROM {table}, (SELECT min({column}) AS lo, max({column}) AS hi FROM {table})
+                       WHERE {column} IS NOT NULL)
                 ) x ON x.bin = b.bin
       GROUP BY b.bin, lo, hi, w"""
 
 
-@query(" UNION ALL ".join(_histogram_sql(a.table, a.column, a.limit_low, a.limit_high) for a in _AXES))
+@query(" UNION ALL ".join(histogram_sql(axis, axis.table) for axis in _AXES))
 def histogram_50(t):
     counted = histograms({"events": t.events, "lineitem": t.lineitem}, _AXES)
     return counted.withColumns({"low": F.round("low", 6), "high": F.round("high", 6)})
