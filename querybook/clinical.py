@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowgate import fixed_values as fixed
@@ -52,15 +52,15 @@ def _id(letter: str, key: str, mixed_by: str) -> str:
     )
 
 
-def _or(missing: str, when: str, value: str) -> F.Column:
+def _or(missing: str, when: str, value: str) -> Column:
     return F.expr(f"if({when}, '{missing}', {value})")
 
 
-def _dated(column: str, key: str, bad_when: str, bad: str = "soon") -> F.Column:
+def _dated(column: str, key: str, bad_when: str, bad: str = "soon") -> Column:
     return F.when(F.expr(bad_when), bad).otherwise(written(column, key, DATE_LAYOUTS))
 
 
-def _amount(column: str, key: str) -> F.Column:
+def _amount(column: str, key: str) -> Column:
     number = f"format_number({column}, 2)"
     return F.expr(
         f"case {key} % 4 when 0 then concat('$', {number}, ' USD') when 1 then {number} "

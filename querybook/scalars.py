@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rowgate import fixed_values as fixed
@@ -15,7 +16,7 @@ DATE_LAYOUTS = [*fixed.DATE_FORMATS, "yyyy-M-d", "yyyy/M/d", "MMM d, yyyy"]
 AS_OF = date(2026, 6, 27)
 
 
-def written(column: str, key: str, layouts) -> F.Column:
+def written(column: str, key: str, layouts) -> Column:
     """The date written in a layout chosen by the key."""
     arms = " ".join(
         f"when {i} then date_format({column}, '{layout}')"

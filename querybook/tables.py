@@ -52,5 +52,5 @@ def normalize_table(t):
     return normalize(
         _messy_segments(t),
         columns={"segment": F.lower, "name": F.upper},
-        derived={"segment_length": ("segment", F.length)},
+        derived={"segment_length": ("segment", lambda c: F.length(c).cast("bigint"))},
     )

@@ -101,30 +101,29 @@ def clean_stage(
     too large for that, the tagged table is staged first and the rows shuffled only once.
     Raises if the rows written do not add up to the rows read.
     """
-    area = StagingArea(spark)
     read: dict[str, DataFrame] = {}
-
-    def clean(contract: TableContract, parents: Mapping[str, DataFrame]) -> DataFrame:
-        name, part = contract.name, area.part(contract.name)
-        raw = spread(with_positions(read_csv(spark, sources[name], **csv_options)))
-        tagged = tag_table(raw, contract, parents, part)
-        read[name] = part.tables.get(name, raw)  # counting staged rows parses no text again
-        if not part.keys_broadcast():
-            tagged = part.stage(tagged, "tagged")
-        write_split(tagged, f"{cleaned_dir}/{name}", f"{quarantine_dir}/{name}")
-        return read_parquet(spark, f"{cleaned_dir}/{name}")
-
-    cleaned = in_waves(spark, contracts, clean, lambda df: df)
-    lines = [
-        Account(
-            name,
-            read[name].count(),
-            cleaned[name].count(),
-            read_parquet(spark, f"{quarantine_dir}/{name}").count(),
-        )
-        for name in contracts
-    ]
-    area.remove()
+    with StagingArea(spark) as area:
+
+        def clean(contract: TableContract, parents: Mapping[str, DataFrame]) -> DataFrame:
+            name, part = contract.name, area.part(contract.name)
+            raw = spread(with_positions(read_csv(spark, sources[name], **csv_options)))
+            tagged = tag_table(raw, contract, parents, part)
+            read[name] = part.tables.get(name, raw)  # counting staged rows parses no text again
+            if not part.keys_broadcast():
+                tagged = part.stage(tagged, "tagged")
+            write_split(tagged, f"{cleaned_dir}/{name}", f"{quarantine_dir}/{name}")
+            return read_parquet(spark, f"{cleaned_dir}/{name}")
+
+        cleaned = in_waves(spark, contracts, clean, lambda df: df)
+        lines = [
+            Account(
+                name,
+                read[name].count(),
+                cleaned[name].count(),
+                read_parquet(spark, f"{quarantine_dir}/{name}").count(),
+            )
+            for name in contracts
+        ]
     for line in lines:
         if line.rows_in != line.rows_cleaned + line.rows_quarantined:
             raise RuntimeError(f"rows do not add up: {line}")
@@ -141,10 +140,9 @@ def check_stage(
     """Run every check on the clean tables and write the report."""
     tune(spark)
     tables = {name: read_parquet(spark, f"{cleaned_dir}/{name}") for name in contracts}
-    area = StagingArea(spark)
-    results = run_checks(tables, [c.suite for c in contracts.values()], run_id, area=area)
-    write_report(results, report_path)
-    area.remove()
+    with StagingArea(spark) as area:
+        results = run_checks(tables, [c.suite for c in contracts.values()], run_id, area=area)
+        write_report(results, report_path)
     return read_report(spark, report_path)[0]
 
 
@@ -172,13 +170,12 @@ def publish_if(
     if not may_publish(verdict, run_id):
         summaries = [r["summary"] for r in verdict.where(F.col("run_id") == run_id).collect()]
         raise PublishBlocked("; ".join(summaries) or f"no verdict for run {run_id}")
-    area = StagingArea(spark)
-    staged = area.stage(gold, "gold")
-    rows_in, rows_out = fact.count(), staged.count()
-    if rows_in != rows_out:
-        raise RuntimeError(f"the joins turned {rows_in} rows into {rows_out}")
-    write_parquet(staged, path)
-    area.remove()
+    with StagingArea(spark) as area:
+        staged = area.stage(gold, "gold")
+        rows_in, rows_out = fact.count(), staged.count()
+        if rows_in != rows_out:
+            raise RuntimeError(f"the joins turned {rows_in} rows into {rows_out}")
+        write_parquet(staged, path)
     return rows_out
 
 

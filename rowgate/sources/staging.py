@@ -25,7 +25,7 @@ def _shared_folder(spark: SparkSession) -> str:
 
 
 class StagingArea:
-    """A new folder for the intermediate tables of one run."""
+    """A new folder for the intermediate tables of one run; as a context, removed at its end."""
 
     def __init__(self, spark: SparkSession, folder: str | None = None):
         self.spark = spark
@@ -33,6 +33,12 @@ class StagingArea:
         self.tables: dict[str, DataFrame] = {}
         self._key_bytes = 0
 
+    def __enter__(self) -> StagingArea:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.remove()
+
     def part(self, name: str) -> StagingArea:
         """An area of its own for one table, within this folder."""
         return StagingArea(self.spark, f"{self.path}/{name}")
