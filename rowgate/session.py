@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
 # HotSpot compiles no method above 8000 bytes of bytecode. The clean-up of a wide table
@@ -25,3 +27,16 @@ def spread(scan: DataFrame) -> DataFrame:
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
     return scan.repartition(cores) if scan.rdd.getNumPartitions() * 2 <= cores else scan
+
+
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from the folder the driver has it in.
+
+    For workers that see the driver's folders, as in local mode; on a cluster the package is
+    installed or sent with ``--py-files``, and a path that is not there does no harm.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
