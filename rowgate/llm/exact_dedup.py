@@ -24,8 +24,8 @@ from ..sources.staging import StagingArea
 from .common import column, encoded, fresh
 
 BLANKS = b" \t\n\x0b\x0c\r"
-#: Digests per bucket, about: an index row is 48 bytes per digest, so some 3 MB.
-PER_BUCKET = 1 << 16
+#: Digests per bucket, about: an index row is some 60 bytes per digest.
+PER_BUCKET = 1 << 12
 #: Digests per pilot, on average.
 PER_PILOT = 4
 

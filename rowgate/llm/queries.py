@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import share_package
 from ..sources.staging import StagingArea
-from . import exact_dedup, quality_ledger
+from . import arrow_sequences, exact_dedup, length_histogram, quality_ledger, sharding
 from .common import documents
 
+SHARDS = 8
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -83,3 +87,29 @@ def op8_exact_dedup(spark, sf_dir):
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept",
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
+
+
+@query()
+def op1_karmarkar_karp_shards(spark, sf_dir):
+    """All documents in eight shards of equal bytes, equal texts together."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    assigned = sharding.assign(docs, SHARDS, StagingArea(spark))
+    return assigned.select(
+        F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query()
+def op3_length_histogram(spark, sf_dir):
+    """Every encoded length with the answers for a context limit of that length."""
+    counts = length_histogram.histogram(documents(spark, sf_dir).select("text"), TOKENIZER)
+    return length_histogram.with_suffix_sums(counts, StagingArea(spark))
+
+
+@query()
+def op4_arrow_sequences(spark, sf_dir):
+    """All documents encoded, written as Arrow files of equal-length sequences and read back."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    manifest = arrow_sequences.write_sequences(docs, StagingArea(spark), TOKENIZER)
+    return arrow_sequences.read_documents(manifest).withColumnRenamed("id", "doc_id")
