@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import share_package
 from ..sources.staging import StagingArea
-from . import arrow_sequences, exact_dedup, length_histogram, quality_ledger, sharding
+from . import arrow_sequences, constrained_packing, entropy_mixing, exact_dedup, length_histogram, quality_ledger, sharding
 from .common import documents
 
 SHARDS = 8
@@ -113,3 +113,17 @@ def op4_arrow_sequences(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "text")
     manifest = arrow_sequences.write_sequences(docs, StagingArea(spark), TOKENIZER)
     return arrow_sequences.read_documents(manifest).withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op7_constrained_packing(spark, sf_dir):
+    """Every piece of every document with its bin of 2048 ids."""
+    docs = documents(spark, sf_dir).select("doc_id", "text", "source")
+    return constrained_packing.pack_documents(docs, StagingArea(spark), TOKENIZER).withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op9_entropy_mixing(spark, sf_dir):
+    """Every document with the words that the mix takes of it."""
+    docs = documents(spark, sf_dir).select("doc_id", "text", "source")
+    return entropy_mixing.taken(docs, StagingArea(spark)).withColumnRenamed("id", "doc_id")
