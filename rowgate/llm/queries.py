@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import share_package
 from ..sources.staging import StagingArea
-from . import arrow_sequences, constrained_packing, entropy_mixing, exact_dedup, length_histogram, quality_ledger, sharding
+from . import arrow_sequences, constrained_packing, entropy_mixing, exact_dedup, jaccard_forest, length_histogram, quality_ledger, sharding
 from .common import documents
 
 SHARDS = 8
@@ -127,3 +127,12 @@ def op9_entropy_mixing(spark, sf_dir):
     """Every document with the words that the mix takes of it."""
     docs = documents(spark, sf_dir).select("doc_id", "text", "source")
     return entropy_mixing.taken(docs, StagingArea(spark)).withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op10_jaccard_forest(spark, sf_dir):
+    """Every document with its class of near copies and its number of links."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return jaccard_forest.link(docs, StagingArea(spark)).select(
+        F.col("id").alias("doc_id"), "class_id", "n_shingles", "n_links"
+    )
