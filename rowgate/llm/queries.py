@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from ..session import share_package
 from ..sources.staging import StagingArea
-from . import arrow_sequences, constrained_packing, entropy_mixing, exact_dedup, jaccard_forest, length_histogram, quality_ledger, sharding
+from . import (
+    arrow_sequences, constrained_packing, cross_entropy, entropy_mixing, exact_dedup, jaccard_forest, length_histogram,
+    quality_ledger, sharding,
+)
 from .common import documents
 
 SHARDS = 8
@@ -136,3 +139,11 @@ def op10_jaccard_forest(spark, sf_dir):
     return jaccard_forest.link(docs, StagingArea(spark)).select(
         F.col("id").alias("doc_id"), "class_id", "n_shingles", "n_links"
     )
+
+
+@query()
+def op5_cross_entropy(spark, sf_dir):
+    """Every document's cross-entropy difference between the good documents and all."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    return cross_entropy.score_by_labels(docs, labels, StagingArea(spark)).withColumnRenamed("id", "doc_id")
