@@ -12,7 +12,7 @@ from ..session import share_package
 from ..sources.staging import StagingArea
 from . import (
     arrow_sequences, constrained_packing, cross_entropy, entropy_mixing, exact_dedup, jaccard_forest, length_histogram,
-    quality_ledger, sharding,
+    quality_ledger, sharding, surrogates,
 )
 from .common import documents
 
@@ -147,3 +147,10 @@ def op5_cross_entropy(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
     return cross_entropy.score_by_labels(docs, labels, StagingArea(spark)).withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op2_surrogates(spark, sf_dir):
+    """Every document with its personal data replaced by surrogates."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return surrogates.pseudonymize(docs, "key of the test run", StagingArea(spark))
