@@ -30,7 +30,8 @@ _TITLE = "|".join(sorted(TITLES, key=len, reverse=True))
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
     "ip": r"(?<![\p{L}\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)",
-    "card": r"(?<![\p{L}\d.-])[3-6]\d{3}(?:[ -]?\d{4}){3}(?!\d)|(?<![\p{L}\d.-])3[47]\d{2}[ -]?\d{6}[ -]?\d{5}(?!\d)",
+    "card": r"(?<![\p{L}\d.-])(?:4\d{3}|5[1-5]\d{2}|2[2-7]\d{2}|6011|65\d{2}|35[2-8]\d)(?:[ -]?\d{4}){3}(?!\d)"
+    r"|(?<![\p{L}\d.-])3[47]\d{2}[ -]?\d{6}[ -]?\d{5}(?!\d)",
     "ssn": r"(?<![\p{L}\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"(?<![\p{L}\d])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)"
     r"|(?<![\p{L}\d(.-])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[ .-]\d{4}(?!\d)",
