@@ -27,6 +27,14 @@ TIMESTAMP_PATTERN = (
     "[M/d/yy h:mm a][MM/dd/yy HH:mm][M/d/yy]"
 )
 
+# One date, be its year signed: two separators, or one comma after a month. The sections of a
+# pattern would also take two dates without anything in between. After a short month name a
+# day has two digits at most and a year no sign.
+_SHORT_MONTH = "(?i:jan|feb|mar|apr|jun|jul|aug|sep|oct|nov|dec)"
+ONE_DATE = rf"^(?!{_SHORT_MONTH} (?:\d{{3}}|.*-))(?:[+-]?[^-/,]*[-/][^-/,]*[-/][^-/,]*|[^-/,]*, ?-?[^-/,]*)\z"
+ONE_TIDY_DATE = r"^(?:[^-/,]*[-/][^-/,]*[-/][^-/,]*|[A-Za-z]+ ?\d{1,2}, ?\d+)\z"
+ONE_TIMESTAMP = r"^[+-]?[^-/]*[-/][^-/]*[-/][^-/]*\z"
+
 # Every character that counts as space in a loosely written date.
 _SPACE = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
 
@@ -49,9 +57,9 @@ def _tidy(c: Column) -> Column:
     return F.regexp_replace(c, r"^\z", "-")  # nothing left: not a date either
 
 
-def _non_empty(c: Column) -> Column:
-    # A pattern of optional sections alone also accepts the empty string.
-    return F.nullif(c, F.lit(""))
+def _one(c: Column, shape: str) -> Column:
+    """The text if it has the shape; the shape also keeps the empty text from the pattern."""
+    return F.when(c.rlike(shape), c)
 
 
 def parse_date(c: Column) -> Column:
@@ -60,14 +68,21 @@ def parse_date(c: Column) -> Column:
     Two-digit years are 20yy; a day that does not exist is NULL.
     """
     return F.coalesce(
-        F.try_to_date(_non_empty(c), DATE_PATTERN),
-        F.try_to_date(_tidy(c), DATE_PATTERN),
+        F.try_to_date(_one(c, ONE_DATE), DATE_PATTERN),
+        F.try_to_date(_one(_tidy(c), ONE_TIDY_DATE), DATE_PATTERN),
     )
 
 
 def parse_timestamp(c: Column) -> Column:
     """Timestamp from any known layout, NULL where none fits."""
-    return F.try_to_timestamp(_non_empty(c), F.lit(TIMESTAMP_PATTERN))
+    return F.try_to_timestamp(_one(c, ONE_TIMESTAMP), F.lit(TIMESTAMP_PATTERN))
+
+
+def iso_date(c: Column) -> Column:
+    """A date as it is, and ``yyyy-MM-dd`` text as a date; any other text is NULL."""
+    return F.when(F.typeof(c) == "string", F.try_to_date(c.cast("string"), "yyyy-MM-dd")).otherwise(
+        c.try_cast("date")
+    )
 
 
 def date_text(c: Column) -> Column:

@@ -14,9 +14,15 @@ def to_double(c: Column) -> Column:
 
 
 def finite_or_null(c: Column) -> Column:
-    """Number for statistics: NaN counts as missing."""
+    """Number for statistics: NaN and infinite values count as missing."""
     number = to_double(c)
-    return F.when(~F.isnan(number), number)
+    return F.when(F.abs(number) < float("inf"), number)
+
+
+def is_infinite(c: Column) -> Column:
+    """Whether the number is above or below all others; false for NULL and NaN."""
+    number = F.abs(to_double(c))
+    return F.coalesce((number == float("inf")) & ~F.isnan(number), F.lit(False))
 
 
 def money(c: Column, signed: bool = False) -> Column:

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
+from ..functions.dates import iso_date
+from ..functions.names import named
 from ..functions.numbers import to_double
 from ..functions.text import mask_id
 from ..sources.staging import StagingArea
@@ -52,7 +54,7 @@ class NotNull(RowCheck):
     sampled = False
 
     def fails(self, stats: Moments) -> Column:
-        return F.col(self.column).isNull()
+        return named(self.column).isNull()
 
 
 @dataclass(frozen=True)
@@ -69,7 +71,7 @@ class DateBetween(RowCheck):
             return None if day is None else F.lit(day).cast("date")
 
         return outside(
-            F.col(self.column).try_cast("date"), bound(self.earliest), bound(self.latest)
+            iso_date(named(self.column)), bound(self.earliest), bound(self.latest)
         )
 
 
@@ -83,7 +85,7 @@ class NumberBetween(RowCheck):
     kind = "numeric_range"
 
     def fails(self, stats: Moments) -> Column:
-        return outside(to_double(F.col(self.column)), self.low, self.high)
+        return outside(to_double(named(self.column)), self.low, self.high)
 
 
 @dataclass(frozen=True)
@@ -108,7 +110,7 @@ class Pattern(RowCheck):
     kind = "pattern"
 
     def fails(self, stats: Moments) -> Column:
-        return F.coalesce(~F.col(self.column).rlike(self.pattern), F.lit(False))
+        return F.coalesce(~named(self.column).rlike(self.pattern), F.lit(False))
 
 
 @dataclass(frozen=True)
@@ -162,7 +164,7 @@ def _row_counts(df: DataFrame, suite: Suite, stats: Moments) -> DataFrame:
 
 
 def _duplicate_groups(df: DataFrame, column: str) -> DataFrame:
-    counted = df.groupBy(F.col(column).alias("id")).agg(F.count(F.lit(1)).alias("copies"))
+    counted = df.groupBy(named(column).alias("id")).agg(F.count(F.lit(1)).alias("copies"))
     return counted.where(F.col("copies") > 1)
 
 
@@ -173,8 +175,8 @@ def _duplicate_count(df: DataFrame, check: UniqueKey) -> DataFrame:
 
 def _orphan_count(df: DataFrame, check: HasParent, parents: Mapping[str, DataFrame]) -> DataFrame:
     # Counted per key before the join: a hot key or NULL is one row per task by then.
-    used = df.groupBy(F.col(check.column).alias("_used")).agg(F.count(F.lit(1)).alias("rows"))
-    known = parents[check.parent].select(F.col(check.parent_key or check.column).alias("_known"))
+    used = df.groupBy(named(check.column).alias("_used")).agg(F.count(F.lit(1)).alias("rows"))
+    known = parents[check.parent].select(named(check.parent_key or check.column).alias("_known"))
     orphans = used.join(known, F.col("_used") == F.col("_known"), "left_anti")
     return orphans.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n"))
 
@@ -211,7 +213,7 @@ def _samples(
     """(table, check, sample_ids) for the failed checks that are sampled, else None."""
     checks = [c for c in suite.checks if c.name in failed and c.sampled]
     parts = []
-    key = F.col(suite.key).alias("id")
+    key = named(suite.key).alias("id")
     row_checks = [c for c in checks if isinstance(c, RowCheck)]
     if row_checks:
         names = F.array(*(F.when(c.fails({}), F.lit(c.name)) for c in row_checks))
@@ -225,8 +227,8 @@ def _samples(
                 df, check.column, parents[check.parent], check.parent_key or check.column
             )
             orphans = area.stage(orphans, "orphan-keys")
-            with_orphan = df.join(orphans, F.col(check.column) == F.col("_orphan"), "left")
-            missing = F.col(check.column).isNull() | F.col("_orphan").isNotNull()
+            with_orphan = df.join(orphans, named(check.column) == F.col("_orphan"), "left")
+            missing = named(check.column).isNull() | F.col("_orphan").isNotNull()
             failing = with_orphan.where(missing).select(key).where(F.col("id").isNotNull())
         else:
             continue

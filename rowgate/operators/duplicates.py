@@ -4,18 +4,48 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
+from ..functions.names import named
 from ..sources.staging import StagingArea
 from .rules import untagged
 from .split import POSITION, REASON, accepted
 
 
+def _place(df: DataFrame) -> tuple[Column, bool]:
+    """Where a row stands in its input, and whether that is the same in every run.
+
+    Of Parquet, the file and the row in it; of other files, the file, the block and the
+    order within the scan of the block. Blocks are read in any order and packed by size, so
+    the scan order alone would depend on the sizes of the files and on the cores.
+    """
+    known = _file_fields(df)
+    if "row_index" in known:
+        return F.struct("_metadata.file_path", "_metadata.row_index"), True
+    row = F.monotonically_increasing_id().alias("row")
+    if known:
+        return F.struct("_metadata.file_path", "_metadata.file_block_start", row), False
+    return F.struct(row), False
+
+
+def _file_fields(df: DataFrame) -> list[str]:
+    """What a row of the table knows about its file; nothing unless the table is a plain scan."""
+    hidden = df._jdf.queryExecution().analyzed().metadataOutput()
+    for i in range(hidden.size()):
+        if hidden.apply(i).name() == "_metadata":
+            return list(hidden.apply(i).dataType().fieldNames())
+    return []
+
+
 def with_positions(df: DataFrame) -> DataFrame:
-    """Number the rows in scan order. The numbers are final once the rows are staged."""
-    return df.withColumn(POSITION, F.monotonically_increasing_id())
+    """Add the place of each row in its input: files by name, then rows as they stand there.
+
+    For other input than files, the scan order. Places that hold a scan order are final once
+    the rows are staged.
+    """
+    return df.withColumn(POSITION, _place(df)[0])
 
 
 def _winners(
@@ -28,9 +58,9 @@ def _winners(
     """
     first = F.min(POSITION)
     if order_by:
-        first = F.min(F.struct(*order_by, POSITION)).getField(POSITION)
-    return area.stage_keys(
-        candidates.groupBy(*(F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)))
+        first = F.min(F.struct(*map(named, order_by), F.col(POSITION))).getField(POSITION)
+    return area.stage(
+        candidates.groupBy(*(named(k).alias(f"_key_{i}") for i, k in enumerate(keys)))
         .agg(F.count(F.lit(1)).alias("_copies"), first.alias("_keep"))
         .where(F.col("_copies") > 1)
         .drop("_copies"),
@@ -47,19 +77,22 @@ def tag_duplicates(
 ) -> DataFrame:
     """Reject all but the first row of each key.
 
-    "First" is by ``order_by`` (NULLs first), and by scan order among equal rows or
+    "First" is by ``order_by`` (NULLs first), and by file and place in it among equal rows or
     without ``order_by``. Rows rejected before are not looked at. The wide rows are not
     shuffled unless the table of repeated keys is too large to broadcast.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     area = StagingArea.for_frame(df, area)
     df = df if REASON in df.columns else untagged(df)
-    df = df if POSITION in df.columns else area.stage(with_positions(df), "rows")
+    if POSITION not in df.columns:
+        place, is_fixed = _place(df)
+        df = df.withColumn(POSITION, place)
+        df = df if is_fixed else area.stage(df, "rows")
     winners = _winners(df.where(accepted()), keys, order_by, area)
-    same_key = [F.col(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)]
+    same_key = [named(k).eqNullSafe(F.col(f"_key_{i}")) for i, k in enumerate(keys)]
     loses = accepted() & (F.col("_keep") != F.col(POSITION))
     return (
         df.join(winners, same_key, "left")
         .withColumn(REASON, F.when(loses, F.lit(reason)).otherwise(F.col(REASON)))
-        .select(*df.columns)
+        .select(*map(named, df.columns))
     )

@@ -6,7 +6,8 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from ..functions.names import named
 
 
 @dataclass(frozen=True)
@@ -25,6 +26,6 @@ def enrich(fact: DataFrame, tables: Mapping[str, DataFrame], dimensions: list[Di
     one side of a join large, which adaptive execution splits; small dimensions broadcast.
     """
     for d in dimensions:
-        picked = [F.col(source).alias(name) for source, name in d.attributes.items()]
+        picked = [named(source).alias(name) for source, name in d.attributes.items()]
         fact = fact.join(tables[d.table].select(d.key, *picked), d.key, "left")
     return fact

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
+from ..functions.names import named
 from ..functions.numbers import finite_or_null
 
 
@@ -47,7 +48,7 @@ def histograms(
     """Counts per bin of every axis, empty bins included.
 
     One pass for the ranges and one for the counts of each table; at most ``bins`` rows
-    per column leave a task. NULL and NaN are left out.
+    per column leave a task. NULL, NaN and infinite values are left out.
     """
     parts = []
     for table in dict.fromkeys(axis.table for axis in axes):
@@ -56,7 +57,7 @@ def histograms(
 
 
 def _table_histograms(df: DataFrame, axes: list[Axis], bins: int) -> list[DataFrame]:
-    values = [finite_or_null(F.col(a.column)) for a in axes]
+    values = [finite_or_null(named(a.column)) for a in axes]
     ranges = df.agg(
         *(F.min(v).alias(f"low_{i}") for i, v in enumerate(values)),
         *(F.max(v).alias(f"high_{i}") for i, v in enumerate(values)),
@@ -66,8 +67,6 @@ def _table_histograms(df: DataFrame, axes: list[Axis], bins: int) -> list[DataFr
         low, high = ranges[f"low_{i}"], ranges[f"high_{i}"]
         if low is None:
             continue
-        if abs(low) == float("inf") or abs(high) == float("inf"):
-            raise ValueError(f"{axis.table}.{axis.column} has infinite values")
         low, high, width = _edges(low, high, bins)
         name = F.lit(axis.column).alias("column")
         placed.append(F.struct(name, _bin(values[i], low, high, width, bins).alias("bin")))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from ..functions.names import named, own_name
 from ..functions.text import null_if_sentinel
 
 ColumnRule = Callable[[Column], Column]
@@ -17,14 +18,10 @@ def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
 
 
-def _quoted(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
 def _rewrite_strings(df: DataFrame, rule: ColumnRule) -> DataFrame:
     text = set(string_columns(df))
     return df.select(
-        *(rule(_quoted(c)).alias(c) if c in text else _quoted(c) for c in df.columns)
+        *(rule(named(c)).alias(c) if c in text else named(c) for c in df.columns)
     )
 
 
@@ -40,6 +37,13 @@ def nullify_sentinels(df: DataFrame) -> DataFrame:
     return _rewrite_strings(df, null_if_sentinel)
 
 
+def _own_or_new(df: DataFrame, name: str) -> str:
+    try:
+        return own_name(df, name)
+    except ValueError:
+        return name
+
+
 def normalize(
     df: DataFrame,
     columns: Mapping[str, ColumnRule] | None = None,
@@ -49,16 +53,21 @@ def normalize(
 
     ``columns`` maps a column to the rule that replaces it. ``derived`` maps a new
     (or replaced) column to the column it is computed from, as it was before
-    ``columns`` applied, and its rule. Other columns pass through.
+    ``columns`` applied, and its rule. Other columns pass through. Names are found as the
+    session finds them, in any letter case unless ``spark.sql.caseSensitive`` is set, and
+    keep the spelling of the table; a name that is absent raises.
     """
-    columns, derived = dict(columns or {}), dict(derived or {})
+    columns = {own_name(df, name): rule for name, rule in (columns or {}).items()}
+    derived = {
+        _own_or_new(df, name): (own_name(df, source), rule) for name, (source, rule) in (derived or {}).items()
+    }
     df = _rewrite_strings(df, lambda c: null_if_sentinel(F.trim(c)))
 
     def value(name: str) -> Column:
         if name in derived:
             source, rule = derived[name]
-            return rule(_quoted(source)).alias(name)
-        return columns[name](_quoted(name)).alias(name) if name in columns else _quoted(name)
+            return rule(named(source)).alias(name)
+        return columns[name](named(name)).alias(name) if name in columns else named(name)
 
     added = [name for name in derived if name not in df.columns]
     return df.select(*(value(name) for name in [*df.columns, *added]))

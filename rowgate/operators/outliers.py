@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
-from ..functions.numbers import finite_or_null
+from ..functions.names import named
+from ..functions.numbers import finite_or_null, is_infinite
 from ..sources.staging import StagingArea
 from .rules import untagged
 from .split import REASON, accepted
@@ -26,19 +27,22 @@ def moments(df: DataFrame, columns: Iterable[str]) -> Moments:
     columns = list(columns)
     aggregates = []
     for i, name in enumerate(columns):
-        value = finite_or_null(F.col(name))
+        value = finite_or_null(named(name))
         aggregates += [F.avg(value).alias(f"mean_{i}"), F.stddev_samp(value).alias(f"sd_{i}")]
     row = df.agg(*aggregates).first() if columns else None
     return {name: (row[f"mean_{i}"], row[f"sd_{i}"]) for i, name in enumerate(columns)}
 
 
 def is_outlier(name: str, stats: Moments, threshold: float = fixed.Z_THRESHOLD) -> Column:
-    """Whether |z| is above the threshold; false for NULL and where nothing varies."""
+    """Whether |z| is above the threshold; false for NULL, NaN and where nothing varies.
+
+    An infinite value is an outlier whatever the others are, and takes no part in their mean.
+    """
     mean, sd = stats[name]
-    if not sd or sd != sd:  # none, zero, or not a number
-        return F.lit(False)
-    z = (finite_or_null(F.col(name)) - F.lit(mean)) / F.lit(sd)
-    return F.coalesce(F.abs(z) > F.lit(threshold), F.lit(False))
+    if not sd:
+        return is_infinite(named(name))
+    z = (finite_or_null(named(name)) - F.lit(mean)) / F.lit(sd)
+    return is_infinite(named(name)) | F.coalesce(F.abs(z) > F.lit(threshold), F.lit(False))
 
 
 def outlier_reason(column: str) -> str:
@@ -60,7 +64,7 @@ def tag_outliers(
     """
     columns = [columns] if isinstance(columns, str) else list(columns)
     df = df if REASON in df.columns else untagged(df)
-    survivors = df.where(accepted()).select(*columns)
+    survivors = df.where(accepted()).select(*map(named, columns))
     if sequential and len(columns) > 1:
         # Several passes: read the few columns from a written table each time.
         survivors = StagingArea.for_frame(df, area).stage(survivors, "measures")

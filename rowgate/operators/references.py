@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.names import named
 from ..sources.staging import StagingArea
 from .rules import untagged
 from .split import REASON, accepted
@@ -16,8 +17,8 @@ def orphan_keys(child: DataFrame, column: str, parents: DataFrame, parent_key: s
     The child is reduced to its distinct keys before it meets the parents, so neither a
     hot key nor the child's other columns are shuffled.
     """
-    used = child.where(F.col(column).isNotNull()).select(F.col(column).alias("_orphan")).distinct()
-    known = parents.select(F.col(parent_key).alias("_known"))
+    used = child.where(named(column).isNotNull()).select(named(column).alias("_orphan")).distinct()
+    known = parents.select(named(parent_key).alias("_known"))
     return used.join(known, F.col("_orphan") == F.col("_known"), "left_anti")
 
 
@@ -37,10 +38,10 @@ def tag_orphans(
     area = StagingArea.for_frame(df, area)
     df = df if REASON in df.columns else untagged(df)
     orphans = orphan_keys(df.where(accepted()), column, parents, parent_key or column)
-    orphans = area.stage_keys(orphans, "orphan-keys")
-    missing = F.col(column).isNull() | F.col("_orphan").isNotNull()
+    orphans = area.stage(orphans, "orphan-keys")
+    missing = named(column).isNull() | F.col("_orphan").isNotNull()
     return (
-        df.join(orphans, F.col(column) == F.col("_orphan"), "left")
+        df.join(orphans, named(column) == F.col("_orphan"), "left")
         .withColumn(REASON, F.when(accepted() & missing, F.lit(reason)).otherwise(F.col(REASON)))
-        .select(*df.columns)
+        .select(*map(named, df.columns))
     )

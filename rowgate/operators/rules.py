@@ -11,6 +11,8 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import iso_date
+from ..functions.names import named
 from .split import REASON
 
 
@@ -31,7 +33,7 @@ class Required(RowRule):
     column: str = ""
 
     def broken(self) -> Column:
-        return F.col(self.column).isNull()
+        return named(self.column).isNull()
 
 
 @dataclass(frozen=True)
@@ -42,7 +44,7 @@ class NotAfter(RowRule):
     latest: date = date.max
 
     def broken(self) -> Column:
-        return F.col(self.column).try_cast("date") > F.lit(self.latest)
+        return iso_date(named(self.column)) > F.lit(self.latest)
 
 
 @dataclass(frozen=True)
@@ -53,7 +55,7 @@ class Matches(RowRule):
     pattern: str = ""
 
     def broken(self) -> Column:
-        return ~F.col(self.column).rlike(self.pattern)
+        return ~named(self.column).rlike(self.pattern)
 
 
 @dataclass(frozen=True)
@@ -63,7 +65,7 @@ class Within(RowRule):
     ranges: Mapping[str, tuple[float, float]] | None = None
 
     def broken(self) -> Column:
-        return reduce(or_, (outside(F.col(c), *bounds) for c, bounds in self.ranges.items()))
+        return reduce(or_, (outside(named(c), *bounds) for c, bounds in self.ranges.items()))
 
 
 def outside(c: Column, low, high) -> Column:
