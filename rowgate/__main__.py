@@ -19,6 +19,7 @@ from rowgate.plans.lifecycle import (
     judge_stage,
     publish_stage,
 )
+from rowgate.sources import read_manifest
 
 
 def main(arguments: list[str] | None = None) -> int:
@@ -27,19 +28,26 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("--source", help="folder of the raw files (clean)")
     parser.add_argument("--out", required=True, help="folder of everything written")
     parser.add_argument("--run-id", required=True, help="the same for all stages of one run")
-    parser.add_argument("--as-of", type=date.fromisoformat, default=date.today())
+    parser.add_argument("--as-of", type=date.fromisoformat, help="today, for ages and future dates (default: "
+                        "the clean stage takes the current day, the others that of the clean stage)")
     args = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName(f"rowgate-{args.stage}").getOrCreate()
-    contracts = preset.healthcare(args.as_of)
     cleaned, report = f"{args.out}/cleaned", f"{args.out}/quality_report"
+    stored = None if args.stage == "clean" else read_manifest(spark, cleaned).get("as_of")
+    as_of = args.as_of or (date.fromisoformat(stored) if stored else date.today())
+    contracts = preset.healthcare(as_of)
     verdict = f"{args.out}/verdict"
     if args.stage == "clean":
         sources = {name: f"{args.source}/{file}" for name, file in preset.SOURCE_FILES.items()}
-        for line in clean_stage(spark, contracts, sources, cleaned, f"{args.out}/quarantine"):
+        for line in clean_stage(
+            spark, contracts, sources, cleaned, f"{args.out}/quarantine", args.run_id, as_of
+        ):
             print(line)
     elif args.stage == "check":
-        check_stage(spark, contracts, cleaned, report, args.run_id).orderBy("ord").show(100, False)
+        charts = f"{args.out}/quality_charts"
+        results = check_stage(spark, contracts, cleaned, report, args.run_id, charts, preset.CHARTS)
+        results.orderBy("ord").show(100, False)
     elif args.stage == "judge":
         now = datetime.now(timezone.utc).isoformat()
         judge_stage(spark, report, verdict, now).show(truncate=False)

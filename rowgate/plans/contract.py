@@ -16,7 +16,6 @@ from ..operators.outliers import tag_outliers
 from ..operators.references import tag_orphans
 from ..operators.rules import RowRule, tag_rows, untagged
 from ..operators.split import POSITION
-from ..session import tune
 from ..sources.staging import StagingArea
 
 
@@ -88,7 +87,6 @@ def tag_table(
     are then found on the few columns they need.
     """
     area = StagingArea.for_frame(raw, area)
-    tune(raw.sparkSession)
     df = raw if POSITION in raw.columns else with_positions(raw)
     df = untagged(normalize(df, contract.columns, contract.derived))
     staged = False

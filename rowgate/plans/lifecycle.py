@@ -1,25 +1,33 @@
-"""From raw tables to a published fact: clean, check, judge, publish."""
+"""From raw tables to a published fact: clean, check, judge, publish.
+
+Clean rows carry a manifest with the run and a version of their own. The report names the
+version it checked, the verdict the one that was judged, and only that one is published.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
+from datetime import date
 from functools import reduce
 from typing import TypeVar
+from uuid import uuid4
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.checks import run_checks
+from ..operators.checks import failures_by_table, fk_violations, row_counts, run_checks
 from ..operators.duplicates import with_positions
 from ..operators.enrich import Dimension, enrich
+from ..operators.histogram import Axis, histograms
 from ..operators.split import accounting, clean_rows
 from ..operators.verdict import verdicts
-from ..session import spread, tune
-from ..sources.files import read_csv, read_parquet, write_parquet, write_split
+from ..session import SETTINGS, settings, spread
+from ..sources.files import read_csv, read_parquet, write_split
 from ..sources.reports import read_report, read_verdict, write_report, write_verdict
+from ..sources.runs import aside, read_manifest, write_manifest
 from ..sources.staging import StagingArea
 from .contract import TableContract, in_parent_order, tag_table
 
@@ -29,7 +37,7 @@ R = TypeVar("R")
 
 
 class PublishBlocked(Exception):
-    """The verdict does not allow publishing."""
+    """The verdict does not allow publishing, or is about other data."""
 
 
 def at_once(spark: SparkSession, work: Callable[[T], R], items: Sequence[T]) -> list[R]:
@@ -86,96 +94,158 @@ class Account:
     rows_quarantined: int
 
 
+# One open file per reason and task instead of a sort of whole rows by reason.
+WRITERS = {"spark.sql.maxConcurrentOutputFileWriters": "64"}
+
+
 def clean_stage(
     spark: SparkSession,
     contracts: Mapping[str, TableContract],
     sources: Mapping[str, str],
     cleaned_dir: str,
     quarantine_dir: str,
+    run_id: str | None = None,
+    as_of: date | None = None,
     **csv_options,
 ) -> list[Account]:
     """Read the raw files, write clean and quarantined rows per table, return the accounting.
 
-    Both sides come from the same staged rows, key lists and statistics, so they agree on
-    every row. They are two map-only passes while the key lists are broadcast; where one is
-    too large for that, the tagged table is staged first and the rows shuffled only once.
-    Raises if the rows written do not add up to the rows read.
+    Each row is decided once: both sides of a table are written by one pass over its staged
+    rows. All tables are written beside the old ones and compared with the rows read; then
+    both folders are swapped, the clean one with a manifest that names the run, its ``as_of``
+    and a new version. Raises, and leaves the old folders, if rows do not add up or a table
+    cannot be written.
     """
     read: dict[str, DataFrame] = {}
-    with StagingArea(spark) as area:
+    with (
+        settings(spark, SETTINGS | WRITERS), StagingArea(spark) as area,
+        aside(spark, cleaned_dir) as cleaned_new, aside(spark, quarantine_dir) as quarantine_new,
+    ):
 
         def clean(contract: TableContract, parents: Mapping[str, DataFrame]) -> DataFrame:
             name, part = contract.name, area.part(contract.name)
             raw = spread(with_positions(read_csv(spark, sources[name], **csv_options)))
             tagged = tag_table(raw, contract, parents, part)
             read[name] = part.tables.get(name, raw)  # counting staged rows parses no text again
-            if not part.keys_broadcast():
-                tagged = part.stage(tagged, "tagged")
-            write_split(tagged, f"{cleaned_dir}/{name}", f"{quarantine_dir}/{name}")
-            return read_parquet(spark, f"{cleaned_dir}/{name}")
+            write_split(tagged, f"{cleaned_new.path}/{name}", f"{quarantine_new.path}/{name}")
+            return read_parquet(spark, f"{cleaned_new.path}/{name}")
 
         cleaned = in_waves(spark, contracts, clean, lambda df: df)
-        lines = [
-            Account(
-                name,
-                read[name].count(),
-                cleaned[name].count(),
-                read_parquet(spark, f"{quarantine_dir}/{name}").count(),
-            )
-            for name in contracts
-        ]
-    for line in lines:
-        if line.rows_in != line.rows_cleaned + line.rows_quarantined:
-            raise RuntimeError(f"rows do not add up: {line}")
+        lines = []
+        for name in contracts:
+            rejected = spark.read.schema("rejection_reason string").parquet(f"{quarantine_new.path}/{name}")
+            line = Account(name, read[name].count(), cleaned[name].count(), rejected.count())
+            if line.rows_in != line.rows_cleaned + line.rows_quarantined:
+                raise RuntimeError(f"rows do not add up: {line}")
+            lines.append(line)
+        write_manifest(
+            spark, cleaned_new.path,
+            {
+                "run_id": run_id, "version": uuid4().hex, "as_of": as_of and as_of.isoformat(),
+                "tables": [asdict(line) for line in lines],
+            },
+        )
+        quarantine_new.swap()
+        cleaned_new.swap()
     return lines
 
 
+def _manifest(spark: SparkSession, cleaned_dir: str, run_id: str) -> dict:
+    """The manifest of the clean tables, which must be of this run if they name one."""
+    manifest = read_manifest(spark, cleaned_dir)
+    if manifest.get("run_id") not in (None, run_id):
+        raise ValueError(f"{cleaned_dir} was cleaned by run {manifest['run_id']}, not {run_id}")
+    return manifest
+
+
 def check_stage(
     spark: SparkSession,
     contracts: Mapping[str, TableContract],
     cleaned_dir: str,
     report_path: str,
     run_id: str,
+    charts_path: str | None = None,
+    axes: Sequence[Axis] = (),
 ) -> DataFrame:
-    """Run every check on the clean tables and write the report."""
-    tune(spark)
-    tables = {name: read_parquet(spark, f"{cleaned_dir}/{name}") for name in contracts}
-    with StagingArea(spark) as area:
-        results = run_checks(tables, [c.suite for c in contracts.values()], run_id, area=area)
-        write_report(results, report_path)
+    """Run every check on the clean tables and write the report.
+
+    With ``charts_path``, the numbers behind the charts are written there too, as one Parquet
+    table each: ``row_counts``, ``failures_by_table``, ``fk_violations`` and, if there are
+    ``axes``, ``histograms``.
+    """
+    manifest = _manifest(spark, cleaned_dir, run_id)
+    with settings(spark), StagingArea(spark) as area:
+        tables = {name: read_parquet(spark, f"{cleaned_dir}/{name}") for name in contracts}
+        suites = [c.suite for c in contracts.values()]
+        results = area.stage(run_checks(tables, suites, run_id, area=area), "results")
+        if charts_path:
+            with aside(spark, charts_path) as new:
+                for name, chart in _charts(results, tables, axes).items():
+                    chart.write.parquet(f"{new.path}/{name}")
+                new.swap()
+        write_report(results, report_path, manifest.get("version"))
     return read_report(spark, report_path)[0]
 
 
+def _charts(results: DataFrame, tables: Mapping[str, DataFrame], axes: Sequence[Axis]) -> dict[str, DataFrame]:
+    # One row per check, table or bin.
+    charts = {
+        "row_counts": row_counts(results), "failures_by_table": failures_by_table(results),
+        "fk_violations": fk_violations(results),
+    }
+    if axes:
+        charts["histograms"] = histograms(tables, list(axes))
+    return {name: chart.coalesce(1) for name, chart in charts.items()}
+
+
 def judge_stage(spark: SparkSession, report_path: str, verdict_path: str, judged_at: str) -> DataFrame:
-    """Judge the written report and write the verdict."""
-    write_verdict(verdicts(*read_report(spark, report_path)), verdict_path, judged_at)
+    """Judge the written report and write the verdict, with the version of the data it is about."""
+    results, overall = read_report(spark, report_path)
+    version = overall.select("run_id", "data_version")
+    write_verdict(verdicts(results, overall).join(version, "run_id"), verdict_path, judged_at)
     return read_verdict(spark, verdict_path)
 
 
-def may_publish(verdict: DataFrame, run_id: str) -> bool:
-    """Whether this very run was judged fit; no verdict, or one of another run, is a no."""
+def may_publish(verdict: DataFrame, run_id: str, version: str | None = None) -> bool:
+    """Whether this very run, and this version of its data, was judged fit; no verdict is a no."""
     mine = verdict.where((F.col("run_id") == run_id) & F.col("publish"))
+    if "data_version" in verdict.columns:
+        mine = mine.where(F.col("data_version").eqNullSafe(F.lit(version).cast("string")))
+    elif version is not None:
+        return False
     return not mine.isEmpty()
 
 
 def publish_if(
-    verdict: DataFrame, run_id: str, fact: DataFrame, gold: DataFrame, path: str
+    verdict: DataFrame,
+    run_id: str,
+    fact: DataFrame,
+    gold: DataFrame,
+    path: str,
+    version: str | None = None,
+    unchanged: Callable[[], bool] = lambda: True,
 ) -> int:
     """Write ``gold`` if the verdict of the run allows it, else raise and write nothing.
 
-    The joins run into a staged table first, whose size is compared with the fact's, so
-    neither a failed join nor a dimension with repeated keys reaches ``path``.
+    The joins run into a folder beside ``path``, whose rows are compared with the fact's; then
+    it takes the place of ``path``. So neither a failed write nor a dimension with repeated
+    keys reaches readers. ``unchanged`` says, when all is read, whether the data still is the
+    version that was judged.
     """
     spark = gold.sparkSession
-    if not may_publish(verdict, run_id):
+    if not may_publish(verdict, run_id, version):
+        if may_publish(verdict.drop("data_version"), run_id):
+            raise PublishBlocked(f"the data was cleaned again after run {run_id} was judged")
         summaries = [r["summary"] for r in verdict.where(F.col("run_id") == run_id).collect()]
         raise PublishBlocked("; ".join(summaries) or f"no verdict for run {run_id}")
-    with StagingArea(spark) as area:
-        staged = area.stage(gold, "gold")
-        rows_in, rows_out = fact.count(), staged.count()
+    with aside(spark, path) as new:
+        gold.write.parquet(new.path)
+        rows_in, rows_out = fact.count(), read_parquet(spark, new.path).count()
+        if not unchanged():
+            raise PublishBlocked(f"the data was cleaned again while run {run_id} was published")
         if rows_in != rows_out:
             raise RuntimeError(f"the joins turned {rows_in} rows into {rows_out}")
-        write_parquet(staged, path)
+        new.swap()
     return rows_out
 
 
@@ -188,8 +258,14 @@ def publish_stage(
     gold_path: str,
     run_id: str,
 ) -> int:
-    """Join the clean fact with its dimensions and publish it if the verdict allows."""
+    """Join the clean fact with its dimensions and publish it if the verdict is about these rows."""
+    version = read_manifest(spark, cleaned_dir).get("version")
     names = [fact, *(d.table for d in dimensions)]
     tables = {name: read_parquet(spark, f"{cleaned_dir}/{name}") for name in names}
     gold = enrich(tables[fact], tables, dimensions)
-    return publish_if(read_verdict(spark, verdict_path), run_id, tables[fact], gold, gold_path)
+
+    def unchanged() -> bool:
+        return read_manifest(spark, cleaned_dir).get("version") == version
+
+    verdict = read_verdict(spark, verdict_path)
+    return publish_if(verdict, run_id, tables[fact], gold, gold_path, version, unchanged)

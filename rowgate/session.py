@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,20 +15,35 @@ SETTINGS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 
 
 def tune(spark: SparkSession) -> None:
-    """Apply the session settings the library is written for."""
+    """Apply the session settings the library is written for; for whoever owns the session."""
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
 
 
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, str] = SETTINGS) -> Iterator[None]:
+    """Session settings for the jobs within, put back afterwards."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """Spread a scan of few partitions over the cores; leave any other as it is.
 
     A file that cannot be split, or is one row group, would otherwise be parsed by one
-    core. A scan with work for half of the cores or more is not shuffled. For plain scans
-    only: asking a plan with shuffles for its partitions would run them.
+    core. A scan with work for half of the cores or more is not shuffled. Positions are added
+    before, so the rows come out the same either way. For plain scans only: asking a plan
+    with shuffles for its partitions would run them.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() * 2 <= cores else scan
+    parts = scan._jdf.queryExecution().toRdd().getNumPartitions()
+    return scan.repartition(cores) if parts * 2 <= cores else scan
 
 
 def share_package(spark: SparkSession) -> None:

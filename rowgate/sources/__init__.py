@@ -1,15 +1,20 @@
 """Reading and writing: delimited text, Parquet, intermediate tables and reports."""
 
-from .files import read_csv, read_parquet, write_parquet, write_split
+from .files import read_csv, read_parquet, read_quarantine, write_parquet, write_split
 from .reports import read_report, read_verdict, write_report, write_verdict
+from .runs import aside, read_manifest, write_manifest
 from .staging import StagingArea
 
 __all__ = [
     "StagingArea",
+    "aside",
     "read_csv",
+    "read_manifest",
     "read_parquet",
+    "read_quarantine",
     "read_report",
     "read_verdict",
+    "write_manifest",
     "write_parquet",
     "write_report",
     "write_split",

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-from ..operators.split import clean_rows, quarantined_rows
+from ..operators.split import POSITION, REASON
+from .runs import aside, move
 
 
 def read_csv(spark: SparkSession, path: str | list[str], **options) -> DataFrame:
@@ -20,11 +22,27 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
-    """Write the table, replacing what the path held."""
-    df.write.mode("overwrite").parquet(path)
+    """Write the table; what the path held is there until all of the new one is."""
+    with aside(df.sparkSession, path) as new:
+        df.write.parquet(new.path)
+        new.swap()
 
 
 def write_split(tagged: DataFrame, clean_path: str, quarantine_path: str) -> None:
-    """Write the accepted rows to one path, the rejected ones with their reason to another."""
-    write_parquet(clean_rows(tagged), clean_path)
-    write_parquet(quarantined_rows(tagged), quarantine_path)
+    """Write the accepted rows to one new path, the rejected ones by reason to another.
+
+    One pass: the rows are written partitioned by reason, and the partition of those without
+    a reason is the clean table. The reason is a folder of the quarantine, no column of the
+    clean files.
+    """
+    spark = tagged.sparkSession
+    rows = tagged.drop(POSITION)
+    rows.write.partitionBy(REASON).parquet(quarantine_path)
+    kept = f"{quarantine_path}/{REASON}=__HIVE_DEFAULT_PARTITION__"
+    if not move(spark, kept, clean_path):
+        rows.drop(REASON).where("false").write.parquet(clean_path)
+
+
+def read_quarantine(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Rejected rows of columns ``schema``, with ``rejection_reason``."""
+    return spark.read.schema(StructType(schema.fields).add(REASON, "string")).parquet(path)

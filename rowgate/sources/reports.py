@@ -7,17 +7,20 @@ is one small row; ``coalesce(1)`` writes it as one file in the given folder.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .runs import aside
+
 _REPORT = (
     "struct<run_timestamp: string, overall_pass: boolean, tables: map<string, struct<"
     "row_count: bigint, checks: map<string, struct<"
-    "pass: boolean, count: bigint, sample_ids_masked: array<string>>>>>>"
+    "pass: boolean, count: bigint, sample_ids_masked: array<string>>>>>, data_version: string>"
 )
 _VERDICT = (
     "struct<publish: boolean, summary: string, root_causes: array<string>, "
-    "recommendations: array<string>, agent_timestamp: string, report_run_timestamp: string>"
+    "recommendations: array<string>, agent_timestamp: string, report_run_timestamp: string, "
+    "data_version: string>"
 )
 
 
@@ -28,8 +31,11 @@ def _entries(key: str, value: Column) -> Column:
     return F.map_from_entries(F.transform(rows, lambda r: F.struct(r["k"], r["v"])))
 
 
-def report_json(results: DataFrame) -> DataFrame:
-    """One row ``(run_id, value)`` per run: the nested report as JSON text."""
+def report_json(results: DataFrame, version: str | None = None) -> DataFrame:
+    """One row ``(run_id, value)`` per run: the nested report as JSON text.
+
+    ``version`` names the data that was checked; without one the report has no such entry.
+    """
     outcome = F.struct(
         F.col("pass"),
         F.col("fail_count").alias("count"),
@@ -49,7 +55,10 @@ def report_json(results: DataFrame) -> DataFrame:
         .select(
             "run_id",
             F.to_json(
-                F.struct(F.col("run_id").alias("run_timestamp"), "overall_pass", "tables")
+                F.struct(
+                    F.col("run_id").alias("run_timestamp"), "overall_pass", "tables",
+                    F.lit(version).cast("string").alias("data_version"),
+                )
             ).alias("value"),
         )
     )
@@ -64,16 +73,23 @@ def verdict_json(verdict: DataFrame, judged_at: str) -> DataFrame:
         "recommendations",
         F.lit(judged_at).alias("agent_timestamp"),
         F.col("run_id").alias("report_run_timestamp"),
+        (F.col("data_version") if "data_version" in verdict.columns else F.lit(None).cast("string")).alias("data_version"),
     )
     return verdict.select("run_id", F.to_json(fields).alias("value"))
 
 
-def write_report(results: DataFrame, path: str) -> None:
-    report_json(results).select("value").coalesce(1).write.mode("overwrite").text(path)
+def _write_text(values: DataFrame, path: str) -> None:
+    with aside(values.sparkSession, path) as new:
+        values.select("value").coalesce(1).write.text(new.path)
+        new.swap()
+
+
+def write_report(results: DataFrame, path: str, version: str | None = None) -> None:
+    _write_text(report_json(results, version), path)
 
 
 def write_verdict(verdict: DataFrame, path: str, judged_at: str) -> None:
-    verdict_json(verdict, judged_at).select("value").coalesce(1).write.mode("overwrite").text(path)
+    _write_text(verdict_json(verdict, judged_at), path)
 
 
 def _read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -87,7 +103,7 @@ def _read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def read_report(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Check results and the stored (run_id, overall_pass) of a report file or folder."""
+    """Check results and the stored (run_id, overall_pass, data_version) of a report file or folder."""
     report = _read_json(spark, path, _REPORT).withColumn(
         "run_id", F.coalesce("run_timestamp", F.lit("unknown"))
     )
@@ -99,14 +115,14 @@ def read_report(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
         "run_id",
         "table",
         "check",
-        (F.col("t") * 1000 + F.col("c")).alias("ord"),
+        (F.row_number().over(Window.partitionBy("run_id").orderBy("t", "c")) - 1).alias("ord"),
         F.lit(None).cast("string").alias("kind"),
         "row_count",
         F.col("r.count").alias("fail_count"),
         F.col("r.pass").alias("pass"),
         F.col("r.sample_ids_masked").alias("sample_ids"),
     )
-    return results, report.select("run_id", "overall_pass")
+    return results, report.select("run_id", "overall_pass", "data_version")
 
 
 def read_verdict(spark: SparkSession, path: str) -> DataFrame:
@@ -118,4 +134,5 @@ def read_verdict(spark: SparkSession, path: str) -> DataFrame:
         "summary",
         "root_causes",
         "recommendations",
+        "data_version",
     )

@@ -9,29 +9,47 @@ otherwise.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def _shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    local = spark.sparkContext.master.startswith("local")
     if folder:
+        if not local and file_system(spark, folder)[0].getScheme() == "file":
+            warnings.warn(f"{folder} is a local path: every executor must have the same storage mounted there")
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not local:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix="rowgate-")
 
 
+def file_system(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it knows it."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
 class StagingArea:
-    """A new folder for the intermediate tables of one run; as a context, removed at its end."""
+    """A new folder for the intermediate tables of one run.
+
+    As a context, it is removed at the end, also after a failure. Otherwise a DataFrame that
+    reads it may be used at any time, and it is removed when the program ends.
+    """
 
     def __init__(self, spark: SparkSession, folder: str | None = None):
         self.spark = spark
         self.path = f"{folder or _shared_folder(spark)}/rowgate-{uuid.uuid4().hex}"
+        self._files, self._folder = file_system(spark, self.path)  # usable after the session
+        if folder is None:
+            atexit.register(self._remove_at_exit)
         self.tables: dict[str, DataFrame] = {}
-        self._key_bytes = 0
 
     def __enter__(self) -> StagingArea:
         return self
@@ -39,6 +57,12 @@ class StagingArea:
     def __exit__(self, *_) -> None:
         self.remove()
 
+    def _remove_at_exit(self) -> None:
+        try:
+            self.remove()
+        except Exception as e:  # the JVM may be gone before us
+            warnings.warn(f"{self.path} is left: {e}")
+
     def part(self, name: str) -> StagingArea:
         """An area of its own for one table, within this folder."""
         return StagingArea(self.spark, f"{self.path}/{name}")
@@ -49,33 +73,12 @@ class StagingArea:
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` once and return the written table, also kept in ``tables``."""
-        self.tables[name] = self._write(df, name)[0]
+        path = f"{self.path}/{name}-{uuid.uuid4().hex[:8]}"
+        df.write.parquet(path)
+        self.tables[name] = self.spark.read.schema(df.schema).parquet(path)
         return self.tables[name]
 
-    def stage_keys(self, df: DataFrame, name: str) -> DataFrame:
-        """Stage a table of keys that whole rows are then joined with."""
-        keys, path = self._write(df, name)
-        fs, folder = self._file_system(path)
-        self._key_bytes = max(self._key_bytes, fs.getContentSummary(folder).getLength())
-        return keys
-
-    def keys_broadcast(self) -> bool:
-        """Whether each key table staged here is small enough to be broadcast."""
-        limit = self.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-        jvm = self.spark.sparkContext._jvm
-        limit = jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)
-        return self._key_bytes <= limit
-
     def remove(self) -> None:
         """Delete the folder; every table staged here becomes unreadable."""
-        fs, folder = self._file_system(self.path)
-        fs.delete(folder, True)
-
-    def _write(self, df: DataFrame, name: str) -> tuple[DataFrame, str]:
-        path = f"{self.path}/{name}-{uuid.uuid4().hex[:8]}"
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path), path
-
-    def _file_system(self, path: str):
-        folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        return folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), folder
+        atexit.unregister(self._remove_at_exit)
+        self._files.delete(self._folder, True)
