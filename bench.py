@@ -18,6 +18,7 @@ from querybook import QUERIES, Tables
 from querybook.clinical import AS_OF, MESSY, RUN
 from rowgate.plans import healthcare as preset
 from rowgate.plans.lifecycle import PublishBlocked, check_stage, clean_stage, judge_stage, publish_stage
+from rowgate.session import tune
 from rowgate.sources import StagingArea
 
 HEADLINE = [
@@ -50,6 +51,7 @@ def session() -> SparkSession:
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    tune(spark)
     return spark
 
 
@@ -87,7 +89,7 @@ def time_full_run(spark: SparkSession, folder: str) -> dict[str, float]:
 
     stages = {
         "run_clean": lambda: clean_stage(
-            spark, contracts, sources, f"{out}/cleaned", f"{out}/quarantine"
+            spark, contracts, sources, f"{out}/cleaned", f"{out}/quarantine", RUN, AS_OF
         ),
         "run_check": lambda: check_stage(spark, contracts, f"{out}/cleaned", f"{out}/report", RUN),
         "run_judge": lambda: judge_stage(spark, f"{out}/report", f"{out}/verdict", RUN),

@@ -7,8 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowgate.session import tune
-
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -18,7 +16,6 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self._folder = spark, folder
-        tune(spark)
 
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self._folder}/{name}.parquet")

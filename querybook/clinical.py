@@ -25,6 +25,7 @@ from rowgate.session import spread
 from rowgate.sources import StagingArea
 
 from .book import pick, query
+from .clinical_dirty import DECLARED
 from .quality import VERDICT_SELECT, VERDICT_SQL, histogram_sql, verdict_text
 from .scalars import BOOL_WORDS, DATE_LAYOUTS, written
 
@@ -551,11 +552,7 @@ _FAILS_SQL = (
 
 
 def _declared_sql() -> str:
-    rows, order = [], 0
-    for contract in healthcare(AS_OF).values():
-        for check in contract.checks:
-            rows.append(f"('{contract.name}', '{check.name}', {order})")
-            order += 1
+    rows = [f"('{table}', '{check}', {i})" for i, (table, check) in enumerate(DECLARED)]
     return f"declared(t, c, ord) AS (VALUES {', '.join(rows)})"
 
 

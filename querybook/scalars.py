@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from rowgate import fixed_values as fixed
 from rowgate import functions as fn
+from rowgate.operators.normalize import normalize
+from rowgate.plans.healthcare import healthcare
 
 from .book import query, pick
 
@@ -30,8 +32,10 @@ BOOL_WORDS = ("Yes", "y", "TRUE", "1", "t", "No", "n", "false", "0", "F", "maybe
 
 @query("SELECT c_custkey, upper(c_name) AS customer_id FROM customer")
 def upper_ids(t):
-    messy = t.customer.select("c_custkey", F.lower("c_name").alias("name"))
-    return messy.select("c_custkey", F.upper("name").alias("customer_id"))
+    ids = F.concat(F.lit("  "), F.lower("c_name")).alias("patient_id")
+    rule = healthcare(AS_OF)["patients"].columns["patient_id"]
+    cleaned = normalize(t.customer.select("c_custkey", ids), columns={"patient_id": rule})
+    return cleaned.withColumnRenamed("patient_id", "customer_id")
 
 
 @query(
