@@ -1,5 +1,7 @@
 """The four stages on messy CSV files, and the properties a run must have."""
 
+import os
+
 import __spark_entry__ as book
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +9,8 @@ from pyspark.sql import functions as F
 from querybook import Tables
 from querybook.clinical import AS_OF, FIRST_BY, MESSY, RUN
 from rowgate.__main__ import main
+from rowgate.operators.checks import UniqueKey
+from rowgate.operators.rules import Required
 from rowgate.operators.split import quarantined_rows
 from rowgate.plans import healthcare as preset
 from rowgate.plans.contract import References, TableContract, Unique, in_parent_order, tag_table
@@ -15,10 +19,11 @@ from rowgate.plans.lifecycle import (
     check_stage,
     clean_stage,
     judge_stage,
+    publish_if,
     publish_stage,
     tag_tables,
 )
-from rowgate.sources import StagingArea, read_csv
+from rowgate.sources import StagingArea, read_csv, read_manifest, read_verdict
 
 CONTRACTS = preset.healthcare(AS_OF, FIRST_BY)
 
@@ -121,6 +126,81 @@ def test_provider_references_can_be_upper_cased(spark):
     assert rejected[False] > rejected[True] > 0
 
 
+def _orders_run(spark, out, rows):
+    """Clean, check and judge one small table."""
+    contract = TableContract("t", "id", rules=[Unique(("id",))], checks=[UniqueKey("duplicate_pk", "id")])
+    spark.createDataFrame(rows, "id string, v string").write.csv(f"{out}/raw", header=True, mode="overwrite")
+    arguments = (spark, {"t": contract}, {"t": f"{out}/raw"}, f"{out}/cleaned", f"{out}/quarantine", "r")
+    clean_stage(*arguments)
+    check_stage(spark, {"t": contract}, f"{out}/cleaned", f"{out}/report", "r")
+    judge_stage(spark, f"{out}/report", f"{out}/verdict", "now")
+    return arguments, (spark, "t", [], f"{out}/cleaned", f"{out}/verdict", f"{out}/gold", "r")
+
+
+def test_only_the_judged_version_is_published(spark, tmp_path):
+    clean, publish = _orders_run(spark, tmp_path, [("1", "a"), ("2", "b")])
+    assert publish_stage(*publish) == 2
+    clean_stage(*clean)
+    with pytest.raises(PublishBlocked, match="cleaned again"):
+        publish_stage(*publish)
+    with pytest.raises(ValueError, match="cleaned by run r"):
+        check_stage(spark, clean[1], clean[3], str(tmp_path / "report"), "another")
+
+
+def test_a_failed_write_leaves_what_was_there(spark, tmp_path):
+    clean, publish = _orders_run(spark, tmp_path, [("1", "a"), ("2", "b")])
+    publish_stage(*publish)
+    broken = F.raise_error(F.lit("no more")).cast("string")
+    fact = spark.read.parquet(f"{tmp_path}/cleaned/t")
+    verdict = read_verdict(spark, f"{tmp_path}/verdict")
+    version = read_manifest(spark, f"{tmp_path}/cleaned")["version"]
+    with pytest.raises(Exception, match="no more"):
+        publish_if(verdict, "r", fact, fact.withColumn("v", broken), f"{tmp_path}/gold", version)
+    with pytest.raises(RuntimeError, match="joins turned 2 rows into 4"):
+        publish_if(verdict, "r", fact, fact.union(fact), f"{tmp_path}/gold", version)
+    assert spark.read.parquet(f"{tmp_path}/gold").count() == 2
+    contract = TableContract("t", "id", columns={"v": lambda c: F.raise_error(F.lit("no more")).cast("string")})
+    with pytest.raises(Exception, match="no more"):
+        clean_stage(spark, {"t": contract}, *clean[2:])
+    assert spark.read.parquet(f"{tmp_path}/cleaned/t").count() == 2
+    assert read_manifest(spark, f"{tmp_path}/cleaned")["version"] == version
+    assert not [p for p in os.listdir(tmp_path) if p.startswith("_")]
+
+
+def test_large_key_lists_give_the_same_split(spark, run, tmp_path):
+    """The whole clean stage without broadcasts rejects the same rows."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        accounts = clean_stage(spark, CONTRACTS, run[1], f"{tmp_path}/cleaned", f"{tmp_path}/quarantine")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert accounts == run[2]
+
+
+def test_first_copy_is_the_first_files_on_any_number_of_cores(spark, tmp_path):
+    """The scan packs large files first; the order of the names decides all the same."""
+    for name, n in (("a", 20), ("b", 5000)):
+        (tmp_path / f"{name}.csv").write_text("id,file\n" + "".join(f"{i},{name}\n" for i in range(n)))
+    contract = TableContract("t", "id", rules=[Unique(("id",))])
+    for cores in ("1", "8"):
+        spark.conf.set("spark.sql.files.minPartitionNum", cores)
+        tagged = tag_table(read_csv(spark, str(tmp_path)), contract, {})
+        kept = tagged.where(F.col("rejection_reason").isNull())
+        assert kept.where("file = 'a'").count() == 20 and kept.count() == 5000
+    spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
+def test_a_rule_for_a_column_that_is_not_there_raises(spark):
+    raw = spark.createDataFrame([("1", "x")], "Id string, `dose.mg` string")
+    with pytest.raises(ValueError, match="no column 'gender'"):
+        tag_table(raw, TableContract("t", "id", columns={"gender": F.upper}), {})
+    contract = TableContract("t", "id", columns={"id": F.lower, "dose.mg": F.upper}, rules=[
+        Required("null dose", "dose.mg"), Unique(("dose.mg",)), References("dose.mg", "p", "dose.mg"),
+    ])
+    tagged = tag_table(raw, contract, {"p": raw.select(F.upper("`dose.mg`").alias("dose.mg"))})
+    assert tagged.first()["dose.mg"] == "X" and tagged.first()["rejection_reason"] is None
+
+
 def test_circles_are_refused():
     a = TableContract("a", "k", rules=[References("k", "b")])
     b = TableContract("b", "k", rules=[References("k", "a")])

@@ -1,5 +1,7 @@
 """Plans that hold for large tables: what is read, shuffled, split and broadcast."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -8,16 +10,17 @@ from rowgate.operators.duplicates import tag_duplicates
 from rowgate.operators.enrich import Dimension, enrich
 from rowgate.operators.outliers import tag_outliers
 from rowgate.operators.references import orphan_keys, tag_orphans
-from rowgate.session import spread
-from rowgate.sources import StagingArea
+from rowgate.plans.lifecycle import WRITERS
+from rowgate.session import settings, spread
+from rowgate.sources import StagingArea, read_quarantine, write_split
 
 
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.fixture
-def settings(spark):
+@pytest.fixture(name="change")
+def change_settings(spark):
     """Set session settings for one test."""
     before = {}
 
@@ -33,8 +36,8 @@ def settings(spark):
 
 
 @pytest.fixture
-def no_broadcast_and_small_partitions(settings):
-    settings(
+def no_broadcast_and_small_partitions(change):
+    change(
         autoBroadcastJoinThreshold="-1",
         adaptive__skewJoin__skewedPartitionThresholdInBytes="64k",
         adaptive__advisoryPartitionSizeInBytes="32k",
@@ -76,8 +79,8 @@ def test_rows_are_not_shuffled_while_the_key_lists_are_small(spark, hot):
     assert "Exchange" not in plan(tag_outliers(hot, "v"))
 
 
-def test_keys_are_combined_before_the_shuffle(spark, hot, settings):
-    settings(autoBroadcastJoinThreshold="-1")
+def test_keys_are_combined_before_the_shuffle(spark, hot, change):
+    change(autoBroadcastJoinThreshold="-1")
     for text in (
         plan(orphan_keys(hot, "key", hot.select("key"), "key")),
         plan(_count_table(hot, Suite("t", "k", [HasParent("fk", "key", "t")]), {"t": hot})),
@@ -93,12 +96,46 @@ def test_row_checks_of_a_table_are_one_scan_of_their_columns(spark, hot):
     assert text.count("FileScan") == 1 and "ReadSchema: struct<k:bigint,key:string>" in text
 
 
-def test_key_lists_that_are_too_large_are_noticed(spark, hot, settings):
-    area = StagingArea(spark)
-    area.stage_keys(hot.select("key").distinct(), "keys")
-    assert area.keys_broadcast()
-    settings(autoBroadcastJoinThreshold="1k")
-    assert not area.keys_broadcast()
+def test_both_sides_of_a_split_are_one_scan_of_the_rows(spark, hot, tmp_path):
+    """Clean and quarantined rows are written by one pass, without another sort or shuffle."""
+    tagged = tag_duplicates(hot.select("k", "key", "v"), "key")
+    seen = spark._jsparkSession.sharedState().statusStore()
+    before = seen.executionsCount()
+    with settings(spark, WRITERS):
+        write_split(tagged, str(tmp_path / "clean"), str(tmp_path / "rejected"))
+    plans = [seen.executionsList().apply(i).physicalPlanDescription() for i in range(before, seen.executionsCount())]
+    writes = [p for p in plans if "InsertIntoHadoopFsRelationCommand" in p]
+    assert len(writes) == 1
+    clean, rejected = spark.read.parquet(str(tmp_path / "clean")), spark.read.parquet(str(tmp_path / "rejected"))
+    assert clean.columns == ["k", "key", "v"] and rejected.columns == ["k", "key", "v", "rejection_reason"]
+    assert clean.count() + rejected.count() == 300000 and rejected.count() > 0
+
+
+def test_a_split_without_rows_on_one_side_has_both_tables(spark, tmp_path):
+    rows = spark.createDataFrame([(1, None), (2, None)], "k int, rejection_reason string")
+    for name, tagged, kept in (("all", rows, 2), ("none", rows.withColumn("rejection_reason", F.lit("bad")), 0)):
+        write_split(tagged, str(tmp_path / name / "clean"), str(tmp_path / name / "rejected"))
+        clean = spark.read.parquet(str(tmp_path / name / "clean"))
+        assert clean.columns == ["k"] and clean.count() == kept
+        assert read_quarantine(spark, str(tmp_path / name / "rejected"), clean.schema).count() == 2 - kept
+
+
+def test_settings_are_put_back(spark):
+    name = "spark.sql.codegen.hugeMethodLimit"
+    spark.conf.unset(name)
+    before = spark.conf.get(name)
+    with pytest.raises(RuntimeError), settings(spark, {name: "1234"}):
+        assert spark.conf.get(name) == "1234"
+        raise RuntimeError
+    assert spark.conf.get(name) == before
+
+
+def test_areas_are_removed_after_a_failure(spark, hot):
+    with pytest.raises(RuntimeError), StagingArea(spark) as area:
+        path = area.path
+        area.stage(hot.limit(5), "rows")
+        raise RuntimeError
+    assert not os.path.exists(path.removeprefix("file:"))
 
 
 def test_staging_areas_are_apart_and_removed(spark, hot):
@@ -117,10 +154,10 @@ def test_only_scans_of_few_partitions_are_spread(spark):
     assert "Exchange" not in plan(spread(spark.range(0, 100, 1, cores)))
 
 
-def test_partitioning_does_not_change_the_outcome(spark, hot, settings):
+def test_partitioning_does_not_change_the_outcome(spark, hot, change):
     outcomes = []
     for partitions in ("3", "17"):
-        settings(shuffle__partitions=partitions)
+        change(shuffle__partitions=partitions)
         tagged = tag_outliers(tag_duplicates(hot, "key", ["v", "k"]), ["v"], threshold=1.5)
         outcomes.append(sorted(map(tuple, tagged.groupBy("rejection_reason").count().collect()), key=str))
     assert outcomes[0] == outcomes[1]
