@@ -162,11 +162,12 @@ def score(docs: DataFrame, table: np.ndarray, text: str = "text", doc_id: str =
 def flag_wanted(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``text, wanted``: every document, with whether a label calls it good.
 
-    Several labels of one document agree to the best of them. A null id matches none.
+    Several labels of one document agree to the best of them. A null id matches none. The
+    labels grow with the documents, so the join is a merge at every size.
     """
     good = labels.groupBy(F.col("doc_id").alias("labelled")).agg((F.max("quality") == 1).alias("wanted"))
     rows = docs.select(column(doc_id).alias("id"), column(text).alias("text"))
-    return rows.join(good, F.col("id") == F.col("labelled"), "left").select("text", "wanted")
+    return rows.join(good.hint("merge"), F.col("id") == F.col("labelled"), "left").select("text", "wanted")
 
 
 def score_by_labels(docs: DataFrame, labels: DataFrame, area: StagingArea, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
