@@ -23,5 +23,12 @@ def test_query_agrees_with_sql(spark, database, name):
         assert difference(result, database, sql) == ""
 
 
+def test_optional_modules_may_be_missing(monkeypatch):
+    every = set(book.queries())
+    monkeypatch.setattr(book.importlib.util, "find_spec", lambda name: None)
+    base = set(book.queries())
+    assert base == set(book.QUERIES) and base <= every and set(book.oracle_sql()) <= base
+
+
 def test_entry_returns_rows(spark):
     assert book.entry(spark).count() > 0
