@@ -20,7 +20,6 @@ import pyarrow as pa
 from pyarrow import fs as arrow_fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..sources.staging import StagingArea
 from .common import column, running_blocks

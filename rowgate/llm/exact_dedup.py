@@ -13,7 +13,6 @@ shuffle, so a text that a third of all rows share sends one row per task.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rowgate.llm import cross_entropy
 from rowgate.llm.queries import QUERIES
 
-from conftest import SMALL, edge_rows
+from llm_cases import SMALL, edge_rows
 
 
 def plain_model(texts):

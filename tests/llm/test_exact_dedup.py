@@ -36,7 +36,7 @@ def plain(rows):
 
 @pytest.mark.parametrize("history", ["false", "true", "doc_id <= 5", "doc_id > 5", "text is null or doc_id % 2 = 0"])
 def test_any_history_gives_the_same_groups(edge, area, history):
-    from conftest import edge_rows
+    from llm_cases import edge_rows
 
     rows = dedup.decide(edge, F.expr(history), area).collect()
     found = sorted(((r.id, bytes(r.digest).hex(), r.keep_id, r.group_size) for r in rows), key=str)

@@ -8,7 +8,7 @@ from rowgate.llm.components import components
 from rowgate.llm.queries import QUERIES
 from rowgate.llm.shingles import minhashes, shingle_set, word_hashes
 
-from conftest import SMALL, edge_rows
+from llm_cases import SMALL, edge_rows
 
 
 def plain_shingles(text):

@@ -10,7 +10,7 @@ from rowgate.llm import arrow_sequences, length_histogram
 from rowgate.llm.encoding import encode_batch, encoder
 from rowgate.llm.queries import QUERIES, TOKENIZER
 
-from conftest import SMALL, edge_rows
+from llm_cases import SMALL, edge_rows
 
 
 @pytest.fixture(scope="module")

@@ -6,7 +6,7 @@ import pytest
 from rowgate.llm import entropy_mixing as mixing
 from rowgate.llm.queries import QUERIES
 
-from conftest import SMALL, edge_rows
+from llm_cases import SMALL, edge_rows
 
 
 def words(text):

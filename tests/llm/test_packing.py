@@ -6,7 +6,7 @@ import pytest
 from rowgate.llm import constrained_packing as packing
 from rowgate.llm.queries import QUERIES
 
-from conftest import SMALL, edge_rows
+from llm_cases import SMALL, edge_rows
 
 
 def plain_pack(sizes, sources, clusters, capacity):

@@ -6,7 +6,7 @@ from rowgate.llm import quality_ledger
 from test_jaccard import plain_links
 from test_mixing import plain_targets, words
 
-from conftest import SMALL
+from llm_cases import SMALL
 
 
 def as_rows(df):

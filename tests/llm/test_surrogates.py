@@ -5,7 +5,7 @@ import pytest
 from rowgate.llm.queries import QUERIES
 from rowgate.llm.surrogates import draw, luhn_valid, pseudonymize
 
-from conftest import SMALL, edge_rows
+from llm_cases import SMALL, edge_rows
 
 FOUND = re.compile(r"[\w.+-]+@[\w.-]+\w|\+1 \(\d{3}\) \d{3}-\d{4}|(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d.])|\b4\d{15}\b")
 
