@@ -32,9 +32,19 @@ def column(name: str) -> Column:
 
 def encoded(texts: pa.Array) -> Iterator[bytes]:
     """The UTF-8 bytes of each text; a null counts as empty."""
-    texts = texts.cast(pa.large_binary())
-    for value in texts:
+    for value in texts.cast(pa.large_binary()):
         yield value.as_py() or b""
+    give_back()
+
+
+def tune_for_texts(spark: SparkSession) -> None:
+    """Send texts to workers in batches of few rows: texts are long, and a batch is in memory twice."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
+def give_back() -> None:
+    """Hand memory that Arrow holds for later back to the system: the worker lives on, other tasks need it."""
+    pa.default_memory_pool().release_unused()
 
 
 def parts_for(spark: SparkSession, rows: int, per_part: int) -> int:
@@ -69,5 +79,6 @@ def flush_sorted(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Tab
                 yield pa.Table.from_batches(held)
                 held = []
             held.append(piece)
+        give_back()
     if held:
         yield pa.Table.from_batches(held)

@@ -17,10 +17,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
+from .common import give_back
+
 #: Parts of words that a worker keeps, at some 200 bytes each.
 KEPT = 1 << 19
 #: Bytes of text that are worked on at once, and of new parts in one text for the library.
-AT_ONCE, CHUNK = 1 << 22, 1 << 10
+AT_ONCE, CHUNK = 1 << 20, 1 << 10
 #: A word that only separates others; parts that contain it are encoded by themselves.
 MARK = "\x00"
 #: Latin letters, then ASCII marks other than the apostrophe: the tokenizer cuts between the two.
@@ -137,6 +139,7 @@ def encode_batch(texts: pa.Array, path: str, with_ids: bool = True) -> Iterator[
     own = encoder(path)
     for piece in pieces(texts):
         yield own.encode(piece, with_ids)
+    give_back()
 
 
 def token_counts(path: str):

@@ -93,12 +93,12 @@ def common_counts(sets: list[np.ndarray]) -> np.ndarray:
         same = c[:-apart] == c[apart:]
         if not same.any():
             break
-        common += np.bincount(r[:-apart][same] * n + r[apart:][same], minlength=n * n).reshape(n, n).astype(np.int32)
-    common += common.T
+        np.add.at(common, (r[:-apart][same], r[apart:][same]), 1)
+        np.add.at(common, (r[apart:][same], r[:-apart][same]), 1)
 
     many = np.flatnonzero(counts > FEW)
-    for first in range(0, len(many), 2048):
-        some = many[first : first + 2048]
+    for first in range(0, len(many), 512):
+        some = many[first : first + 512]
         held = np.zeros((n, len(some)), dtype=np.float32)
         place = np.full(len(counts), -1)
         place[some] = np.arange(len(some))
@@ -113,8 +113,11 @@ def linked(sets: list[np.ndarray], threshold: float) -> np.ndarray:
     """Which two different sets are at least so similar."""
     common = common_counts(sets)
     sizes = np.array([len(s) for s in sets])
-    union = sizes[:, None] + sizes[None, :] - common
-    links = common / np.maximum(union, 1) >= threshold
+    links = np.zeros(common.shape, dtype=bool)
+    for first in range(0, len(sets), 128):
+        rows = slice(first, first + 128)
+        union = sizes[rows, None] + sizes[None, :] - common[rows]
+        links[rows] = common[rows] / np.maximum(union, 1) >= threshold
     np.fill_diagonal(links, False)
     return links
 

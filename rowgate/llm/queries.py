@@ -14,7 +14,7 @@ from . import (
     arrow_sequences, constrained_packing, cross_entropy, entropy_mixing, exact_dedup, jaccard_forest, length_histogram,
     quality_ledger, sharding, surrogates,
 )
-from .common import documents
+from .common import documents, tune_for_texts
 
 SHARDS = 8
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -27,6 +27,7 @@ def query(sql: str | None = None):
     def register(build):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             share_package(spark)
+            tune_for_texts(spark)
             return build(spark, sf_dir)
 
         QUERIES[build.__name__] = run
