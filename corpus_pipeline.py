@@ -13,39 +13,44 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowgate.llm import constrained_packing, entropy_mixing, exact_dedup, jaccard_forest, quality_ledger
-from rowgate.llm.common import documents
+from rowgate.llm.common import documents, tune_for_texts
 from rowgate.llm.queries import TOKENIZER
 from rowgate.session import share_package
 from rowgate.sources.staging import StagingArea
 
 
+def _prepare(spark: SparkSession) -> None:
+    share_package(spark)
+    tune_for_texts(spark)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the quality policy in use lets pass."""
-    share_package(spark)
+    _prepare(spark)
     return quality_ledger.keep_passing(docs)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts."""
-    share_package(spark)
+    _prepare(spark)
     return exact_dedup.drop_duplicates(docs, exact_dedup.older_half(docs), StagingArea(spark))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that links of similar shingles connect."""
-    share_package(spark)
+    _prepare(spark)
     return jaccard_forest.keep_one(docs, StagingArea(spark))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as often as the mix of the sources takes them."""
-    share_package(spark)
+    _prepare(spark)
     return entropy_mixing.mix(docs, StagingArea(spark))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents, packed into sequences."""
-    share_package(spark)
+    _prepare(spark)
     packed = constrained_packing.pack_documents(docs, StagingArea(spark), TOKENIZER)
     return packed.select(
         F.col("id").alias("doc_id"), "source", "piece", "size", "n_tokens", "bin", "bin_start"
