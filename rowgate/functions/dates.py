@@ -32,11 +32,17 @@ TIMESTAMP_PATTERN = (
 # day has two digits at most and a year no sign.
 _SHORT_MONTH = "(?i:jan|feb|mar|apr|jun|jul|aug|sep|oct|nov|dec)"
 ONE_DATE = rf"^(?!{_SHORT_MONTH} (?:\d{{3}}|.*-))(?:[+-]?[^-/,]*[-/][^-/,]*[-/][^-/,]*|[^-/,]*, ?-?[^-/,]*)\z"
-ONE_TIDY_DATE = r"^(?:[^-/,]*[-/][^-/,]*[-/][^-/,]*|[A-Za-z]+ ?\d{1,2}, ?\d+)\z"
 ONE_TIMESTAMP = r"^[+-]?[^-/]*[-/][^-/]*[-/][^-/]*\z"
+# The shortest date has six characters, so any shorter than this is one date at most.
+TWO_DATES = 12
+ISO_DATE = r"^(?:\d{4}|-\d{4,6}|\+\d{5,6})-\d\d-\d\d\z"
 
 # Every character that counts as space in a loosely written date.
 _SPACE = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
+ONE_LOOSE_DATE = (
+    r"^(?:[^-/,]*[-/][^-/,]*[-/][^-/,]*"
+    rf"|{_SPACE}*[A-Za-z]+{_SPACE}*\d{{1,2}}{_SPACE}*,{_SPACE}*\d+{_SPACE}*)\z"
+)
 
 
 def _tidy(c: Column) -> Column:
@@ -58,8 +64,11 @@ def _tidy(c: Column) -> Column:
 
 
 def _one(c: Column, shape: str) -> Column:
-    """The text if it has the shape; the shape also keeps the empty text from the pattern."""
-    return F.when(c.rlike(shape), c)
+    """The text if it is too short for two dates or has the shape of one.
+
+    A pattern of optional sections alone also accepts the empty string.
+    """
+    return F.when((c != "") & ((F.length(c) < TWO_DATES) | c.rlike(shape)), c)
 
 
 def parse_date(c: Column) -> Column:
@@ -69,7 +78,7 @@ def parse_date(c: Column) -> Column:
     """
     return F.coalesce(
         F.try_to_date(_one(c, ONE_DATE), DATE_PATTERN),
-        F.try_to_date(_one(_tidy(c), ONE_TIDY_DATE), DATE_PATTERN),
+        F.when(c.rlike(ONE_LOOSE_DATE), F.try_to_date(_tidy(c), DATE_PATTERN)),
     )
 
 
@@ -80,9 +89,8 @@ def parse_timestamp(c: Column) -> Column:
 
 def iso_date(c: Column) -> Column:
     """A date as it is, and ``yyyy-MM-dd`` text as a date; any other text is NULL."""
-    return F.when(F.typeof(c) == "string", F.try_to_date(c.cast("string"), "yyyy-MM-dd")).otherwise(
-        c.try_cast("date")
-    )
+    written = (F.typeof(c) != "string") | c.cast("string").rlike(ISO_DATE)
+    return F.when(written, c.try_cast("date"))
 
 
 def date_text(c: Column) -> Column:

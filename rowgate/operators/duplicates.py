@@ -22,11 +22,13 @@ def _place(df: DataFrame) -> tuple[Column, bool]:
     the scan order alone would depend on the sizes of the files and on the cores.
     """
     known = _file_fields(df)
+    # One file needs no name; each name would be carried by every row.
+    file = ["_metadata.file_path"] if known and len(df._jdf.inputFiles()) > 1 else []
     if "row_index" in known:
-        return F.struct("_metadata.file_path", "_metadata.row_index"), True
+        return F.struct(*file, "_metadata.row_index"), True
     row = F.monotonically_increasing_id().alias("row")
     if known:
-        return F.struct("_metadata.file_path", "_metadata.file_block_start", row), False
+        return F.struct(*file, "_metadata.file_block_start", row), False
     return F.struct(row), False
 
 
