@@ -9,6 +9,9 @@ below zero, the document is closer to the target than the corpus is.
 Tasks count in arrays and shuffle one row per trigram they met. The losses are worked out by
 first byte, 256 groups at most; the table of differences has 64 MB at most, which is what comes
 to the driver and goes to the workers.
+
+Bytes tell languages and spellings apart; words and their order are told by the word bigrams of
+``word_bigrams``, whose vocabulary and counts grow with the corpus. Every document has both scores.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import StagingArea
+from . import word_bigrams
 from .common import column, encoded
 
 BYTES = 256
@@ -135,7 +139,7 @@ def difference_table(counts: DataFrame) -> np.ndarray:
 
 
 def score(docs: DataFrame, table: np.ndarray, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``id, n_tokens, loss_difference, score`` of every document; the score is per token.
+    """``id, text_key, n_tokens, loss_difference, score`` of every document; the score is per token.
 
     A null or empty text has one token, the end. Rows that repeat each other score alike.
     """
@@ -154,9 +158,10 @@ def score(docs: DataFrame, table: np.ndarray, text: str = "text", doc_id: str =
 
     rows = docs.select(
         column(doc_id).cast("bigint").alias("id"),
+        word_bigrams.text_key(text).alias("text_key"),
         F.arrow_udf(scored, "n_tokens bigint, loss_difference double")(column(text)).alias("s"),
     )
-    return rows.select("id", "s.*", (F.col("s.loss_difference") / F.col("s.n_tokens")).alias("score"))
+    return rows.select("id", "text_key", "s.*", (F.col("s.loss_difference") / F.col("s.n_tokens")).alias("score"))
 
 
 def flag_wanted(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -171,7 +176,14 @@ def flag_wanted(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text
 
 
 def score_by_labels(docs: DataFrame, labels: DataFrame, area: StagingArea, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """Score all documents by those that the labels call good against all documents."""
+    """Score all documents by those that the labels call good against all documents.
+
+    ``score`` is by byte trigrams, ``word_score`` by word bigrams, each in bits per token.
+    """
     flagged = flag_wanted(docs, labels, doc_id, text)
     counts = area.stage(trigram_counts(flagged, F.col("wanted")), "trigrams")
-    return score(docs, difference_table(counts), text, doc_id)
+    pairs = area.stage(word_bigrams.bigram_counts(flagged, F.col("wanted")), "bigrams")
+    losses = area.stage(word_bigrams.losses(pairs, area), "losses")
+    by_words = area.stage(word_bigrams.score(docs, losses, text), "word-scores")
+    by_bytes = score(docs, difference_table(counts), text, doc_id)
+    return by_bytes.join(by_words, F.col("text_key") == F.col("key"), "left").drop("text_key", "key")

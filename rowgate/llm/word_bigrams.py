@@ -1,0 +1,136 @@
+"""Word bigram models of wanted documents and of all documents, as written tables.
+
+A word is what stands between white space, as a 64-bit hash; every text starts and ends with a
+mark of its own. The vocabulary is drawn from the whole corpus, for both models. A bigram is
+smoothed by its word, a word by the uniform distribution over the vocabulary (Witten-Bell).
+Counts, vocabulary and losses grow with the corpus and stay in tables; what comes to the driver
+is one row of totals. A document joins the losses of its distinct bigrams.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..sources.staging import StagingArea
+from .common import column, encoded
+from .shingles import word_hashes
+
+#: The mark that starts and ends a text.
+EDGE = np.zeros(1, np.uint64)
+#: Bigrams that a task counts before it hands on its counts.
+HELD = 1 << 20
+
+
+def bigrams(text: bytes) -> np.ndarray:
+    """The pairs of words that follow each other, ``(n, 2)``; one at least."""
+    padded = np.concatenate([EDGE, word_hashes(text), EDGE]).view(np.int64)
+    return np.stack([padded[:-1], padded[1:]], axis=1)
+
+
+def _summed(pairs: np.ndarray, *counts: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The distinct pairs and the sums of their counts."""
+    order = np.lexsort((pairs[:, 1], pairs[:, 0]))
+    pairs = pairs[order]
+    starts = np.flatnonzero(np.concatenate([[True], (pairs[1:] != pairs[:-1]).any(axis=1)]))
+    return pairs[starts], [np.add.reduceat(c[order], starts) for c in counts]
+
+
+def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    found: list[np.ndarray] = []
+    wanted: list[np.ndarray] = []
+    held = 0
+
+    def emit() -> pa.RecordBatch:
+        flags = np.concatenate(wanted)
+        pairs, (background, target) = _summed(np.concatenate(found), np.ones(len(flags), np.int64), flags)
+        arrays = [pa.array(np.ascontiguousarray(x)) for x in (pairs[:, 0], pairs[:, 1], background, target)]
+        return pa.RecordBatch.from_arrays(arrays, names=["prev", "word", "background", "target"])
+
+    for batch in batches:
+        for text, good in zip(encoded(batch.column("text")), batch.column("wanted").to_pylist()):
+            found.append(bigrams(text))
+            wanted.append(np.full(len(found[-1]), int(good), np.int64))
+            held += len(found[-1])
+            if held >= HELD:
+                yield emit()
+                found, wanted, held = [], [], 0
+    if held:
+        yield emit()
+
+
+def bigram_counts(docs: DataFrame, wanted: Column, text: str = "text") -> DataFrame:
+    """``prev, word, background, target``: how often each bigram is in all and in the wanted documents."""
+    flagged = docs.select(column(text).alias("text"), F.coalesce(wanted, F.lit(False)).alias("wanted"))
+    counted = flagged.mapInArrow(_counted, "prev bigint, word bigint, background bigint, target bigint")
+    return counted.groupBy("prev", "word").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
+
+
+def _smoothed(count: Column, total: Column, kinds: Column, lower: Column) -> Column:
+    return F.when(total > 0, (count + kinds * lower) / (total + kinds)).otherwise(lower)
+
+
+def losses(counts: DataFrame, area: StagingArea) -> DataFrame:
+    """``prev, word, loss``: target loss minus background loss of every bigram, in bits, from written counts."""
+    models = ("background", "target")
+    words = area.stage(counts.groupBy("word").agg(*(F.sum(m).alias(m) for m in models)), "vocabulary")
+    after = counts.groupBy("prev").agg(
+        *(F.sum(m).alias(f"{m}_total") for m in models), *(F.count_if(F.col(m) > 0).alias(f"{m}_kinds") for m in models)
+    )
+    totals = words.agg(
+        F.count(F.lit(1)).alias("size"), *(F.sum(m).alias(f"{m}_total") for m in models),
+        *(F.count_if(F.col(m) > 0).alias(f"{m}_kinds") for m in models),
+    ).first()
+    size = F.lit(1 / max(totals["size"], 1))
+    alone = words.select(
+        "word",
+        *(_smoothed(F.col(m), F.lit(totals[f"{m}_total"] or 0), F.lit(totals[f"{m}_kinds"]), size).alias(f"{m}_alone") for m in models),
+    )
+    joined = counts.join(after.hint("merge"), "prev").join(alone.hint("merge"), "word")
+    general, wanted = (
+        _smoothed(F.col(m), F.col(f"{m}_total"), F.col(f"{m}_kinds"), F.col(f"{m}_alone")) for m in models
+    )
+    return joined.select("prev", "word", (F.log2(general) - F.log2(wanted)).alias("loss"))
+
+
+def _listed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys = batch.column("key").to_numpy()
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        held = 0
+
+        def emit() -> pa.RecordBatch:
+            pairs, counts, key = (np.concatenate(x) for x in zip(*found))
+            arrays = [pa.array(np.ascontiguousarray(x)) for x in (key, pairs[:, 0], pairs[:, 1], counts)]
+            return pa.RecordBatch.from_arrays(arrays, names=["key", "prev", "word", "n"])
+
+        for key, text in zip(keys, encoded(batch.column("text"))):
+            pairs = bigrams(text)
+            pairs, (counts,) = _summed(pairs, np.ones(len(pairs), np.int64))
+            found.append((pairs, counts.astype(np.int32), np.full(len(pairs), key)))
+            held += len(pairs)
+            if held >= HELD:
+                yield emit()
+                found, held = [], 0
+        if held:
+            yield emit()
+
+
+def text_key(text: str = "text") -> Column:
+    """The same for equal texts; a null counts as empty."""
+    return F.xxhash64(F.coalesce(column(text), F.lit("")))
+
+
+def score(docs: DataFrame, table: DataFrame, text: str = "text") -> DataFrame:
+    """``key, word_score``: the mean loss difference per word of every text, the end counted as a word.
+
+    Equal texts are summed together, which leaves their mean as it is.
+    """
+    rows = docs.select(text_key(text).alias("key"), column(text).alias("text"))
+    listed = rows.mapInArrow(_listed, "key bigint, prev bigint, word bigint, n int")
+    met = listed.join(table.hint("merge"), ["prev", "word"])
+    return met.groupBy("key").agg((F.sum(F.col("n") * F.col("loss")) / F.sum("n")).alias("word_score"))

@@ -1,11 +1,12 @@
 import math
+import re
 from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rowgate.llm import cross_entropy
+from rowgate.llm import cross_entropy, word_bigrams
 from rowgate.llm.queries import QUERIES
 
 from llm_cases import SMALL, edge_rows
@@ -89,3 +90,58 @@ def test_long_texts_are_counted_in_pieces(spark, monkeypatch):
     counts = {r.code: r.background for r in cross_entropy.trigram_counts(docs, F.lit(True)).collect()}
     codes, n = np.unique(cross_entropy.trigram_codes(text.encode()), return_counts=True)
     assert counts == dict(zip(codes.tolist(), n.tolist()))
+
+
+def plain_word_model(texts):
+    """P(word | one before), by counting."""
+    pairs = Counter(p for t in texts for p in word_pairs(t))
+    words, after, kinds = Counter(), Counter(), Counter()
+    for (a, b), n in pairs.items():
+        words[b] += n
+        after[a] += n
+        kinds[a] += 1
+
+    def p(a, b, size):
+        total = sum(words.values())
+        alone = (words[b] + len(words) / size) / (total + len(words)) if total else 1 / size
+        return (pairs[a, b] + kinds[a] * alone) / (after[a] + kinds[a]) if after[a] else alone
+
+    return p, len(words)
+
+
+def word_pairs(text):
+    words = [None, *(w for w in re.split("[\x20\x09-\x0d]+", text or "") if w), None]
+    return list(zip(words, words[1:]))
+
+
+def test_words_agree_with_counting(spark, edge, area):
+    labels = spark.createDataFrame([(4, 1), (8, 0)], "doc_id bigint, quality int")
+    found = cross_entropy.score_by_labels(edge, labels, area).collect()
+    texts = [t for _, t, _ in edge_rows()]
+    background, size = plain_word_model(texts)
+    target, _ = plain_word_model([t for d, t, _ in edge_rows() if d == 4])
+
+    def plain(text):
+        pairs = word_pairs(text)
+        return sum(math.log2(background(*p, size)) - math.log2(target(*p, size)) for p in pairs) / len(pairs)
+
+    expected = Counter((d, round(plain(t), 6)) for d, t, _ in edge_rows())
+    assert Counter((r.id, round(r.word_score, 6)) for r in found) == expected
+
+
+def test_words_tell_what_bytes_cannot(spark, area):
+    """Texts of the same byte trigrams and other words."""
+    rows = [(i, "  1zzz1  2zzz2  " if i < 10 else "  1zzz2  2zzz1  ") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(5)], "doc_id bigint, quality int")
+    found = {r.id: r for r in cross_entropy.score_by_labels(docs, labels, area).collect()}
+    assert found[7].score == pytest.approx(found[17].score)
+    assert found[7].word_score < 0 < found[17].word_score
+
+
+def test_word_models_grow_with_the_corpus(spark, area):
+    def counted(n):
+        docs = spark.range(n).selectExpr("concat('w', id, ' v', id, ' x', id) as text")
+        return word_bigrams.bigram_counts(docs, F.lit(True)).count()
+
+    assert counted(400) == 4 * 400 and counted(4000) == 10 * counted(400)
