@@ -1,7 +1,10 @@
 """Replace personal data by keyed surrogates of the same type, native expressions only.
 
 Entities are found by pattern: mail addresses, IPv4 addresses, payment cards (checked digit
-included), social security and phone numbers, and persons introduced by a title. Each distinct
+included), social security and phone numbers, and persons introduced by one title or several,
+with initials, particles and any number of names, the last of which is the family name. Names of
+such a person are found again without a title wherever the same text has them with a capital;
+initials become other letters, by the key alone. Each distinct
 value gets a surrogate from a keyed hash: the same value gets the same one everywhere, whatever
 its letter case or separators; a family name keeps its surrogate with any title or given name;
 cards stay valid, numbers keep their separators, addresses go to reserved domains, names keep
@@ -26,7 +29,20 @@ FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Mademoiselle", "Mlle",
 NEUTRAL = ("Dr", "Prof")
 TITLES = (*MALE, *FEMALE, *NEUTRAL)
 
+#: Between given and family names; the words stay.
+PARTICLES = ("von und zu", "von der", "von dem", "van der", "van den", "van de", "de la", "de las", "de los", "von", "van", "de", "del", "della", "di", "da", "do", "dos", "das", "du", "bin", "ibn", "ter", "ten", "y")
+SUFFIXES = ("Jr", "Junior", "Senior", "II", "III", "IV", "PhD", "MD")
+
 _TITLE = "|".join(sorted(TITLES, key=len, reverse=True))
+_BLANK = r"[ \u00a0]"
+_LETTER = r"[\p{L}\p{M}]"
+_PARTICLE = "|".join(sorted(PARTICLES, key=len, reverse=True)).replace(" ", _BLANK)
+_INITIAL = rf"(?:\p{{Lu}}\.-?)+|\p{{Lu}}(?!{_LETTER}|['’.])"
+_NAME = (
+    rf"(?!(?:{_TITLE}|{'|'.join(SUFFIXES)})(?!{_LETTER}))(?:\p{{L}}['’])?\p{{Lu}}{_LETTER}+"
+    rf"(?:-{_LETTER}+|['’]\p{{Lu}}{_LETTER}+)*"
+)
+_NEXT = rf"(?:{_BLANK}(?:{_INITIAL}|(?:{_PARTICLE})(?!{_LETTER})))*{_BLANK}{_NAME}"
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
     "ip": r"(?<![\p{L}\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)",
@@ -35,7 +51,7 @@ PATTERNS = {
     "ssn": r"(?<![\p{L}\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"(?<![\p{L}\d])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)"
     r"|(?<![\p{L}\d(.-])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[ .-]\d{4}(?!\d)",
-    "person": rf"(?<![\p{{L}}\d])(?:{_TITLE})\.? \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?",
+    "person": rf"(?<![\p{{L}}\d])(?:{_TITLE})\.?(?:{_BLANK}(?:{_TITLE})\.?)*(?:{_NEXT})+",
 }
 ANY = "|".join(PATTERNS.values())
 #: Sounds of made-up names by script, and how given names end.
@@ -195,31 +211,86 @@ def _rendered(kind: Column, part: Column, drawn: Column) -> Column:
     return F.when(kind.isin("card", "ssn", "phone"), spaced).when(kind.isin("email", "ip"), drawn).otherwise(named)
 
 
-def entities(docs: DataFrame) -> DataFrame:
-    """``key, pos, part, kind, surface, canonical``: the parts of all entities of ``key, text`` rows.
+def _parts(found: DataFrame) -> DataFrame:
+    """``key, pos, part, type, kind, surface, canonical`` of ``key, pos, entity`` rows.
 
-    A person has a part for the title, which stays, and one for each name; any other entity
-    has one part. Parts without a kind stay as they are.
+    A person has a part for each word and blank; titles, particles and blanks have no kind.
     """
-    found = docs.select("key", F.posexplode(F.regexp_extract_all("text", F.lit(ANY), F.lit(0))).alias("pos", "entity"))
     typed = found.withColumn("type", _kind(F.col("entity")))
-    words = F.when(F.col("type") == "person", F.split("entity", " ")).otherwise(F.array("entity"))
-    parts = typed.withColumn("words", words).select(
-        "key", "pos", "type", F.size("words").alias("n"), F.col("words")[0].alias("title"),
-        F.posexplode("words").alias("part", "surface"),
+    words = F.when(F.col("type") == "person", F.split("entity", rf"(?<={_BLANK})|(?={_BLANK})")).otherwise(F.array("entity"))
+    listed = typed.withColumn("words", words)
+
+    def titled(titles: tuple[str, ...]) -> Column:
+        return F.exists("words", lambda w: F.regexp_replace(w, r"\.$", "").isin(*titles))
+
+    gender = F.when(titled(MALE), "male").when(titled(FEMALE), "female").otherwise("any")
+    parts = listed.select(
+        "key", "pos", "type", F.size("words").alias("n"), gender.alias("gender"), F.posexplode("words").alias("part", "surface")
     )
-    title = F.regexp_replace("title", r"\.$", "")
-    gender = F.when(title.isin(*MALE), "male").when(title.isin(*FEMALE), "female").otherwise("any")
-    given = (F.col("n") == 3) & (F.col("part") == 1)
-    name = F.when(given, F.concat(F.lit("given "), gender)).otherwise(F.lit("family"))
-    kind = F.when(F.col("type") != "person", F.col("type")).when(
-        F.col("part") > 0, F.concat_ws(" ", name, _script(F.col("surface")))
+    surface = F.col("surface")
+    stays = surface.rlike(rf"^(?:{_BLANK}|(?:{_TITLE})\.?)$") | surface.isin(*{w for p in PARTICLES for w in (*p.split(), "und")})
+    name = F.when(F.col("part") < F.col("n") - 1, F.concat(F.lit("given "), F.col("gender"))).otherwise(F.lit("family"))
+    kind = (
+        F.when(F.col("type") != "person", F.col("type"))
+        .when(stays, F.lit(None).cast("string"))
+        .when(surface.rlike(rf"^(?:{_INITIAL})$"), F.lit("initial"))
+        .otherwise(F.concat_ws(" ", name, _script(surface)))
     )
     return parts.select("key", "pos", "part", "type", kind.alias("kind"), "surface").withColumn(
-        "canonical", _canonical(F.col("kind"), F.col("surface"))
+        "canonical", _canonical(F.col("kind"), surface)
+    )
+
+
+def named(docs: DataFrame) -> DataFrame:
+    """``key, canonical, kind``: the names that each of the ``key, text`` rows has with a title.
+
+    A word that is a family name and a given name in one text counts as the family name.
+    """
+    pattern = F.lit(PATTERNS["person"])
+    found = docs.select("key", F.posexplode(F.regexp_extract_all("text", pattern, F.lit(0))).alias("pos", "entity"))
+    names = _parts(found).where("kind like 'family %' or kind like 'given %'")
+    return names.groupBy("key", "canonical").agg(F.min("kind").alias("kind"))
+
+
+def own_patterns(names: DataFrame) -> DataFrame:
+    """``key, pattern``: what finds all entities of a text and its own names without a title."""
+    either = F.array_join(F.reverse(F.array_sort(F.collect_list(F.struct(F.length("canonical").alias("n"), "canonical")))["canonical"]), "|")
+    one = F.concat(F.lit(r"(?=[\p{Lu}]|\p{L}['’]\p{Lu})(?iu:"), either, F.lit(rf")(?!{_LETTER}|\p{{N}})"))
+    again = F.concat(F.lit(rf"{ANY}|(?<![\p{{L}}\p{{N}}])"), F.col("one"), F.lit(f"(?:{_BLANK}"), F.col("one"), F.lit(")*+"))
+    return names.groupBy("key").agg(one.alias("one")).select("key", again.alias("pattern"))
+
+
+def entities(docs: DataFrame, names: DataFrame) -> DataFrame:
+    """``key, pos, part, type, kind, surface, canonical``: the parts of all entities of ``key, text, pattern`` rows.
+
+    Names without a title are of the kind that the same text has with one. Any entity but a
+    person has one part. Parts without a kind stay as they are.
+    """
+    found = docs.select("key", F.posexplode(F.regexp_extract_all("text", F.col("pattern"), F.lit(0))).alias("pos", "entity"))
+    titled = F.col("entity").rlike(f"^(?:{PATTERNS['person']})$")
+    bare = (_kind(F.col("entity")) == "person") & ~titled
+    known = names.select(F.col("key").alias("owner"), F.col("canonical").alias("name"), F.col("kind").alias("known"))
+    repeats = _parts(found.where(bare)).join(
+        known, F.col("key").eqNullSafe(F.col("owner")) & (F.col("canonical") == F.col("name")), "left"
+    )
+    return _parts(found.where(F.coalesce(~bare, F.lit(True)))).unionByName(
+        repeats.select("key", "pos", "part", "type", F.col("known").alias("kind"), "surface", "canonical")
     )
 
 
+def other_initials(key: str, surface: Column) -> Column:
+    """Initials with each letter replaced by another one of its script, by the key alone."""
+    def one(c: Column) -> Column:
+        moved = c
+        for letters in ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШЭЮЯ", "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ"):
+            at = F.instr(F.lit(letters), c)
+            step = F.conv(F.substring(_hash(key, F.lit("initial"), c), 1, 8), 16, 10).cast("bigint") % (len(letters) - 1)
+            moved = F.when(at > 0, F.substring(F.lit(letters), ((at + step) % len(letters) + 1).cast("int"), F.lit(1))).otherwise(moved)
+        return F.when(c.rlike(r"\p{L}") & (moved == c), F.lit("X")).otherwise(moved)
+
+    return F.array_join(F.transform(F.split(surface, ""), one), "")
+
+
 def draw(values: DataFrame, key: str, area: StagingArea) -> DataFrame:
     """``kind, canonical, drawn``: a surrogate of each distinct value, none equal to another or to a value.
 
@@ -258,29 +329,40 @@ def pseudonymize(docs: DataFrame, key: str, area: StagingArea, text: str = "text
     byte. Rows that repeat each other are replaced alike; a null id is an id like any other. All
     other columns are kept, whatever their names; an empty table gives an empty one.
     """
-    own, hashed, mine, new, spans = (fresh(docs, n) for n in ("text_key", "text_sha", "found_key", "found_new", "found_spans"))
+    own, hashed, mine, new, spans, searcher = (
+        fresh(docs, n) for n in ("text_key", "text_sha", "found_key", "found_new", "found_spans", "found_pattern")
+    )
     marked = docs.withColumn(hashed, F.when(_mayhave(column(text)), F.sha2(column(text), 256)))
     likely = marked.where(F.col(hashed).isNotNull())
-    parts = area.stage(
-        entities(likely.select(F.struct(column(doc_id).alias("id"), F.col(hashed).alias("sha")).alias("key"), column(text).alias("text")))
-        .distinct(),
-        "entities",
+    texts = likely.select(F.struct(column(doc_id).alias("id"), F.col(hashed).alias("sha")).alias("key"), column(text).alias("text"))
+    titled = F.col("text").rlike(PATTERNS["person"])
+    names = area.stage(named(texts.where(titled)), "names")
+    patterns = area.stage(own_patterns(names), "patterns")
+    keyed = patterns.select(F.col("key").alias("owner"), "pattern")
+    persons = texts.where(titled).join(keyed, F.col("key").eqNullSafe(F.col("owner")), "left")
+    searched = texts.where(~titled).withColumn("pattern", F.lit(ANY)).unionByName(
+        persons.select("key", "text", F.coalesce("pattern", F.lit(ANY)).alias("pattern"))
     )
-    values = parts.where("kind is not null").select("kind", "canonical").distinct()
+    parts = area.stage(entities(searched, names).distinct(), "entities")
+    values = parts.where("kind is not null and kind <> 'initial'").select("kind", "canonical").distinct()
     drawn = area.stage(draw(area.stage(values, "values"), key, area), "surrogates")
-    rendered = F.coalesce(_rendered(F.col("kind"), F.col("surface"), F.col("drawn")), F.col("surface"))
+    rendered = F.when(F.col("kind") == "initial", other_initials(key, F.col("surface"))).otherwise(
+        F.coalesce(_rendered(F.col("kind"), F.col("surface"), F.col("drawn")), F.col("surface"))
+    )
     replaced = parts.join(drawn, ["kind", "canonical"], "left").select("key", "pos", "part", "type", rendered.alias("new"))
     entity = replaced.groupBy("key", "pos").agg(
         F.max("type").alias("type"), F.array_sort(F.collect_list(F.struct("part", "new"))).alias("parts")
-    ).select("key", F.struct("pos", "type", F.array_join(F.col("parts.new"), " ").alias("surrogate")).alias("e"))
-    found = area.stage(entity.groupBy("key").agg(F.array_sort(F.collect_list("e")).alias("found")), "found")
+    ).select("key", F.struct("pos", "type", F.array_join(F.col("parts.new"), "").alias("surrogate")).alias("e"))
+    listed = entity.groupBy("key").agg(F.array_sort(F.collect_list("e")).alias("found"))
+    with_pattern = listed.join(keyed, F.col("key").eqNullSafe(F.col("owner")), "left")
+    found = area.stage(with_pattern.select("key", "found", F.coalesce("pattern", F.lit(ANY)).alias("pattern")), "found")
 
-    right = found.select(F.col("key").alias(mine), F.col("found.surrogate").alias(new),
+    right = found.select(F.col("key").alias(mine), F.col("found.surrogate").alias(new), F.col("pattern").alias(searcher),
                          F.expr("transform(filter(found, e -> e.type is not null), e -> struct(e.type as type, e.surrogate as surrogate))").alias(spans))
     joined = likely.withColumn(own, F.struct(column(doc_id).alias("id"), F.col(hashed).alias("sha"))).join(
         right, F.col(own).eqNullSafe(F.col(mine)), "left"
     )
-    between = F.split(column(text), F.lit(ANY), -1)
+    between = F.split(column(text), F.coalesce(F.col(searcher), F.lit(ANY)), -1)
     last = F.element_at(between, -1)
     pieces = F.zip_with(F.slice(between, F.lit(1), F.size(between) - 1), F.col(new), lambda a, b: F.concat(a, b))
     rebuilt = F.when(F.col(new).isNull(), column(text)).otherwise(F.concat(F.array_join(pieces, ""), last))

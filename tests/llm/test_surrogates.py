@@ -60,6 +60,33 @@ def test_names_keep_family_gender_and_script(spark, area):
     assert re.search(r"Госпожа [А-Я][а-я]+(ина|ела|ора|иса) [А-Я][а-я]+$", new)
 
 
+def test_whole_names_go(spark, area):
+    cases = [
+        ("met Prof. Dr. Anna Schmidt today", ("Anna", "Schmidt")),
+        ("met Herr Dr. Müller today", ("Müller",)),
+        ("met Señor Gabriel García Márquez today", ("Gabriel", "García", "Márquez")),
+        ("met Mr John Fitzgerald Kennedy today", ("John", "Fitzgerald", "Kennedy")),
+        ("met Mrs Smith-Jones today", ("Smith", "Jones")),
+        ("met Dr. J. Smith today", ("J.", "Smith")),
+        ("met Mr O'Brien today", ("O'", "Brien")),
+        ("met Frau Eva von der Leyen today", ("Eva", "Leyen")),
+        ("met Mr John Smith today. Smith left, John Smith's dog and SMITH too", ("John", "Smith", "SMITH")),
+    ]
+    for (text, gone), new in zip(cases, replaced(spark, area, *(text for text, _ in cases))):
+        assert not any(name in new for name in gone) and " today" in new
+        title = re.match(r"met (?:(?:Prof|Dr|Mrs?|Herr|Señor|Frau)\.? )+", text)[0]
+        assert new.startswith(title) and len(new.split()) == len(text.split())
+
+
+def test_names_without_a_title_keep_their_surrogate(spark, area):
+    texts = ("Smith came. Mr John Smith spoke; Smith and John Smith smith Jones", "Smith came with Jones", "Mr Smith came")
+    new, untitled, _ = replaced(spark, area, *texts)
+    family = new.split()[0]
+    given = re.search(rf"Mr (\w+) {family} spoke", new)[1]
+    assert new == f"{family} came. Mr {given} {family} spoke; {family} and {given} {family} smith Jones"
+    assert untitled == "Smith came with Jones"
+
+
 def test_lookalikes_stay(spark, area):
     texts = ["no 4111111111111112, ean 2390409500648, v1.2.3.4, 1.2.3.4.5, 300.1.1.1", "Version 2.0. of 3-4", "Mr. no name", "a@b", "10:30-11:00 2024-01-05"]
     assert replaced(spark, area, *texts) == texts
