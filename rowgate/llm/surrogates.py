@@ -49,8 +49,14 @@ PATTERNS = {
     "card": r"(?<![\p{L}\d.-])(?:4\d{3}|5[1-5]\d{2}|2[2-7]\d{2}|6011|65\d{2}|35[2-8]\d)(?:[ -]?\d{4}){3}(?!\d)"
     r"|(?<![\p{L}\d.-])3[47]\d{2}[ -]?\d{6}[ -]?\d{5}(?!\d)",
     "ssn": r"(?<![\p{L}\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?<![\p{L}\d])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)"
-    r"|(?<![\p{L}\d(.-])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[ .-]\d{4}(?!\d)",
+    # With a country, also in brackets; 3-3-4 with or without a leading 1; ten digits; a leading 0, but no date.
+    "phone": r"(?<![\p{L}\d])(?:\+\d{1,3}|\(\+\d{1,3}\))[ ./-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ ./-]?\d{2,4}){2,4}(?!\d)"
+    r"|(?<![\p{L}\d(.-])(?:1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[.-]|[2-9]\d{2} )\d{3}[ .-]\d{4}(?!\d)"
+    r"|(?<![\p{L}\d(.,-])1?[2-9]\d{2}[2-9]\d{6}(?![\d-]|[.,]\d)"
+    r"|(?<![\p{L}\d(.,/-])(?<!\d:)(?!\d\d[ /.-]\d\d[ /.-](?:19|20)\d\d(?!\d))(?=(?:[ /()-]{0,2}\d){9,15}(?!\d))"
+    r"(?:0\d{1,4}[ /-]|\(0\d{1,4}\)[ /-]?)\d{2,10}(?:[ -]\d{1,5}){0,5}(?![\d:]|[.,]\d)"
+    r"|(?<![\p{L}\d(.,/-])0[1-9](?:\.\d{2}){4}(?![\d.])"
+    r"|(?<![\p{L}\d(.,/-])0{1,2}[1-9]\d{8,11}(?![\d-]|[.,]\d)",
     "person": rf"(?<![\p{{L}}\d])(?:{_TITLE})\.?(?:{_BLANK}(?:{_TITLE})\.?)*(?:{_NEXT})+",
 }
 ANY = "|".join(PATTERNS.values())
@@ -164,8 +170,8 @@ def surrogate(key: str, kind: Column, canonical: Column, attempt: Column) -> Col
     body = F.concat(F.substring(canonical, 1, 1), F.substring(stream, F.lit(1), n - 2))
     rest = _luhn_sum(F.concat(body, F.lit("0"))) % 10
     card = F.concat(body, ((10 - rest) % 10).cast("string"))
-    # A leading + and its country stay; then an area that does not start with 0 or 1.
-    lead = F.regexp_extract(canonical, r"^(\+\d\d|)", 1)
+    # A leading + or 00 and its country stay, or a leading 0; then an area that does not start with 0 or 1.
+    lead = F.regexp_extract(canonical, r"^(\+\d\d|00\d\d|0|)", 1)
     phone = F.concat(lead, (F.conv(F.substring(h, 60, 4), 16, 10).cast("int") % 8 + 2).cast("string"),
                      F.substring(stream, F.lit(1), n - F.length(lead) - 1))
     ssn = F.concat(F.lit("9"), F.substring(stream, 1, 8))  # numbers from 900 on are not given out
@@ -191,14 +197,15 @@ def _canonical(kind: Column, part: Column) -> Column:
     """What all spellings of a value have in common."""
     return (
         F.when(kind.isin("card", "ssn"), _digits(part))
-        .when(kind == "phone", F.regexp_replace(F.regexp_replace(part, r"[^0-9+]", ""), r"^\+1", ""))
+        .when(kind == "phone", F.regexp_replace(F.regexp_replace(part, r"[^0-9+]", ""), r"^\+1|^1(?=\d{10}$)", ""))
         .otherwise(F.lower(part))
     )
 
 
 def _rendered(kind: Column, part: Column, drawn: Column) -> Column:
     """The surrogate in the spelling of the value it replaces."""
-    plain = F.concat(F.when(part.rlike(r"^\+1"), "1").otherwise(""), F.regexp_replace(drawn, r"^\+", ""))
+    digits = F.regexp_replace(drawn, r"^\+", "")
+    plain = F.concat(F.when(F.length(_digits(part)) > F.length(digits), "1").otherwise(""), digits)
 
     def one(place: Column) -> Column:
         c = F.substring(part, place, F.lit(1))
@@ -232,7 +239,7 @@ def _parts(found: DataFrame) -> DataFrame:
     name = F.when(F.col("part") < F.col("n") - 1, F.concat(F.lit("given "), F.col("gender"))).otherwise(F.lit("family"))
     kind = (
         F.when(F.col("type") != "person", F.col("type"))
-        .when(stays, F.lit(None).cast("string"))
+        .when(F.col("type").isNull() | stays, F.lit(None).cast("string"))
         .when(surface.rlike(rf"^(?:{_INITIAL})$"), F.lit("initial"))
         .otherwise(F.concat_ws(" ", name, _script(surface)))
     )

@@ -87,6 +87,22 @@ def test_names_without_a_title_keep_their_surrogate(spark, area):
     assert untitled == "Smith came with Jones"
 
 
+def test_national_phone_numbers_go(spark, area):
+    phones = [
+        "+1 415 555 2671", "415 555 2671", "4155552671", "1-415-555-2671", "1 (415) 555-2671", "1-800-555-1234", "030 12345678",
+        "0171/1234567", "01 42 68 53 00", "01.42.68.53.00", "(+49) 30 1234567", "+49 30 1234567", "(030) 12345678", "01711234567",
+    ]
+    stay = ["on 01 02 2024 10:30", "on 01/02/2024", "at 1700000000", "0.4155552671", "05-06-2023 12 of 30"]
+    new = replaced(spark, area, *(f"call {p} now" for p in phones), *stay)
+    assert new[len(phones) :] == stay
+    digits = [re.sub(r"\D", "", x) for x in new]
+    for old, text in zip(phones, new):
+        assert text != f"call {old} now" and re.sub(r"\d", "9", text) == re.sub(r"\d", "9", f"call {old} now")
+        assert not old.startswith("0") or text.startswith("call 0")
+    assert digits[0][1:] == digits[1] == digits[2] == digits[3][1:] == digits[4][1:]
+    assert digits[8] == digits[9] and digits[10] == digits[11] and digits[6] == digits[12]
+
+
 def test_lookalikes_stay(spark, area):
     texts = ["no 4111111111111112, ean 2390409500648, v1.2.3.4, 1.2.3.4.5, 300.1.1.1", "Version 2.0. of 3-4", "Mr. no name", "a@b", "10:30-11:00 2024-01-05"]
     assert replaced(spark, area, *texts) == texts
