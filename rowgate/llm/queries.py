@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from zlib import crc32
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import share_package
 from ..sources.staging import StagingArea
 from . import (
-    arrow_sequences, constrained_packing, cross_entropy, entropy_mixing, exact_dedup, jaccard_forest, length_histogram,
-    quality_ledger, sharding, surrogates,
+    arrow_sequences, constrained_packing, cross_entropy, entropy_mixing, exact_dedup, importance_resampling,
+    jaccard_forest, length_histogram, periodic_runs, quality_ledger, sharding, surrogates, winnowing,
 )
-from .common import documents, tune_for_texts
+from .common import documents, encoded, tune_for_texts
 
 SHARDS = 8
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -155,3 +157,79 @@ def op2_surrogates(spark, sf_dir):
     """Every document with its personal data replaced by surrogates."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return surrogates.pseudonymize(docs, "key of the test run", StagingArea(spark))
+
+
+@query(
+    r"""WITH i AS (SELECT DISTINCT item_id::VARCHAR AS item, words FROM (SELECT item_id, regexp_extract_all(
+                     translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark) WHERE len(words) > 0),
+    iw AS (SELECT DISTINCT item, least(10, len(words)) AS n, words[p : p + least(10, len(words)) - 1] AS win
+           FROM i, unnest(range(1, len(words) - least(10, len(words)) + 2)) AS r(p)),
+    d AS (SELECT doc_id, coalesce(regexp_extract_all(
+                     translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS words FROM documents),
+    dw AS (SELECT doc_id, n, p, words[p : p + n - 1] AS win
+           FROM d, (SELECT DISTINCT n FROM iw) AS s, unnest(range(1, len(words) - n + 2)) AS r(p)),
+    w AS (SELECT DISTINCT n, win FROM iw),
+    hit AS (SELECT doc_id, n, p, win FROM dw JOIN w USING (n, win)),
+    covered AS (SELECT doc_id, count(DISTINCT p + o) AS n_hit FROM hit, unnest(range(0, n)) AS r(o) GROUP BY doc_id),
+    items AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS names
+              FROM hit JOIN iw USING (n, win) GROUP BY doc_id)
+    SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+           coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+           n_hit IS NOT NULL AS contaminated
+    FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)"""
+)
+def op11_winnowing(spark, sf_dir):
+    """Every document with the words that are inside of benchmark windows, and the items they are from."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    found = winnowing.contamination(docs, benchmark, StagingArea(spark))
+    n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", n_hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
+    )
+
+
+@query()
+def op12_importance_resampling(spark, sf_dir):
+    """Every document with its weight towards the benchmark, and the rank of those that are drawn."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    target = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("text")
+    drawn = importance_resampling.resample(docs, target, StagingArea(spark))
+    return drawn.select(F.col("id").alias("doc_id"), "n_words", "n_features", "weight", "score", "rank")
+
+
+def repeat_tail(words: list[bytes], doc_id: int) -> list[bytes]:
+    """One text in ten, by its id, with a period planted from some word on."""
+    h = crc32(str(doc_id).encode())
+    g, n = h // 10, len(words)
+    if h % 10 or not n:
+        return words
+    first = g % n
+    period = 1 + (n - first) // (3 + g % 8)
+    return words[:first] + [words[first + k % period] for k in range(n - first)]
+
+
+def _planted(ids: pa.Array, texts: pa.Array) -> pa.Array:
+    rows = []
+    for doc_id, text in zip(ids.to_pylist(), encoded(texts)):
+        rows.append(text if doc_id is None else b" ".join(repeat_tail(text.split(), doc_id)))
+    return pa.array(rows, pa.binary()).cast(pa.string())
+
+
+@query()
+def op13_periodic_runs(spark, sf_dir):
+    """Every document, one in ten with a planted period, with its runs and what is left without them."""
+    docs = documents(spark, sf_dir).select(
+        "doc_id", F.arrow_udf(_planted, "string")("doc_id", "text").alias("text")
+    )
+    found = periodic_runs.collapse_runs(docs).withColumn("best", periodic_runs.best(F.col("runs")))
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    return found.select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("bigint").alias("n_runs"), "best.*",
+        F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", F.transform("runs", line)), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
