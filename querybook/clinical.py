@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from rowgate import fixed_values as fixed
 from rowgate.operators.checks import run_checks
-from rowgate.operators.duplicates import with_positions
+from rowgate.operators.positions import with_positions
 from rowgate.operators.enrich import enrich
 from rowgate.operators.histogram import histograms
 from rowgate.operators.split import clean_rows, rejections_by_reason

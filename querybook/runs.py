@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from rowgate.operators.histogram import Axis
 from rowgate.plans.healthcare import FACT, FACT_DIMENSIONS, healthcare
 from rowgate.plans.lifecycle import PublishBlocked, check_stage, clean_stage, judge_stage, publish_stage
-from rowgate.sources import StagingArea, read_parquet, read_quarantine
+from rowgate.sources import StagingArea, read_clean, read_parquet, read_rejected
 
 from .book import query
 from .clinical import AS_OF, COLUMNS, FIRST_BY, MESSY, RUN, with_tables
@@ -120,8 +120,8 @@ def clean_quarantine_written(t):
     run.clean()
     parts = []
     for name in NAMES:
-        clean = read_parquet(t.spark, f"{run.out}/cleaned/{name}")
-        rejected = read_quarantine(t.spark, f"{run.out}/quarantine/{name}", clean.schema)
+        clean = read_clean(t.spark, f"{run.out}/cleaned", name)
+        rejected = read_rejected(t.spark, f"{run.out}/cleaned", f"{run.out}/quarantine", name)
         parts += [clean.withColumn("rejection_reason", F.lit(None).cast("string")), rejected]
         parts[-2:] = [
             part.groupBy("rejection_reason").agg(F.count(F.lit(1)).alias("row_count")).withColumn("table", F.lit(name))

@@ -4,52 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
 from ..functions.names import named
 from ..sources.staging import StagingArea
+from .positions import place_of
 from .rules import untagged
 from .split import POSITION, REASON, accepted
 
 
-def _place(df: DataFrame) -> tuple[Column, bool]:
-    """Where a row stands in its input, and whether that is the same in every run.
-
-    Of Parquet, the file and the row in it; of other files, the file, the block and the
-    order within the scan of the block. Blocks are read in any order and packed by size, so
-    the scan order alone would depend on the sizes of the files and on the cores.
-    """
-    known = _file_fields(df)
-    # One file needs no name; each name would be carried by every row.
-    file = ["_metadata.file_path"] if known and len(df._jdf.inputFiles()) > 1 else []
-    if "row_index" in known:
-        return F.struct(*file, "_metadata.row_index"), True
-    row = F.monotonically_increasing_id().alias("row")
-    if known:
-        return F.struct(*file, "_metadata.file_block_start", row), False
-    return F.struct(row), False
-
-
-def _file_fields(df: DataFrame) -> list[str]:
-    """What a row of the table knows about its file; nothing unless the table is a plain scan."""
-    hidden = df._jdf.queryExecution().analyzed().metadataOutput()
-    for i in range(hidden.size()):
-        if hidden.apply(i).name() == "_metadata":
-            return list(hidden.apply(i).dataType().fieldNames())
-    return []
-
-
-def with_positions(df: DataFrame) -> DataFrame:
-    """Add the place of each row in its input: files by name, then rows as they stand there.
-
-    For other input than files, the scan order. Places that hold a scan order are final once
-    the rows are staged.
-    """
-    return df.withColumn(POSITION, _place(df)[0])
-
-
 def _winners(
     candidates: DataFrame, keys: Sequence[str], order_by: Sequence[str], area: StagingArea
 ) -> DataFrame:
@@ -87,7 +52,7 @@ def tag_duplicates(
     area = StagingArea.for_frame(df, area)
     df = df if REASON in df.columns else untagged(df)
     if POSITION not in df.columns:
-        place, is_fixed = _place(df)
+        place, is_fixed = place_of(df)
         df = df.withColumn(POSITION, place)
         df = df if is_fixed else area.stage(df, "rows")
     winners = _winners(df.where(accepted()), keys, order_by, area)

@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 
 REASON = "rejection_reason"
 POSITION = "_position"
+#: The line of a row whose number of fields is not its header's; null for all other rows.
+MALFORMED = "_malformed"
+MALFORMED_ROW = "malformed row"
+#: For rows that are tagged with an empty text.
+UNNAMED = "rejected without a reason"
 
 
 def accepted() -> Column:
@@ -20,7 +25,7 @@ def accepted() -> Column:
 
 def clean_rows(tagged: DataFrame) -> DataFrame:
     """Accepted rows, with the columns of the table itself."""
-    return tagged.where(accepted()).drop(REASON, POSITION)
+    return tagged.where(accepted()).drop(REASON, POSITION, MALFORMED)
 
 
 def quarantined_rows(tagged: DataFrame) -> DataFrame:

@@ -7,15 +7,17 @@ from dataclasses import dataclass, field
 from itertools import groupby
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
 from ..operators.checks import Check, Suite
-from ..operators.duplicates import tag_duplicates, with_positions
+from ..operators.duplicates import tag_duplicates
 from ..operators.normalize import ColumnRule, normalize
-from ..operators.outliers import tag_outliers
+from ..operators.outliers import outlier_reason, tag_outliers
+from ..operators.positions import with_positions
 from ..operators.references import tag_orphans
 from ..operators.rules import RowRule, tag_rows, untagged
-from ..operators.split import POSITION
+from ..operators.split import MALFORMED, MALFORMED_ROW, POSITION, REASON
 from ..sources.staging import StagingArea
 
 
@@ -56,7 +58,8 @@ Rule = RowRule | Unique | NotOutlying | References
 class TableContract:
     """Clean-up, rejection rules in order of priority, and checks of one table.
 
-    A later rule only sees rows that all earlier rules accept.
+    A later rule only sees rows that all earlier rules accept. Every reason is a text: a
+    contract with an empty one raises, as its rows would count as accepted.
     """
 
     name: str
@@ -66,6 +69,23 @@ class TableContract:
     rules: Sequence[Rule] = ()
     checks: Sequence[Check] = ()
 
+    def __post_init__(self):
+        if not all(isinstance(reason, str) and reason.strip() for reason in self.reasons):
+            raise ValueError(f"{self.name}: a rule has no reason to reject rows for")
+
+    @property
+    def reasons(self) -> list[str]:
+        """Every reason that a row of this table may be rejected for, in order of priority."""
+        found: list[str] = []
+        for rule in self.rules:
+            if isinstance(rule, Unique):
+                found.append(fixed.DUPLICATE_KEY)
+            elif isinstance(rule, NotOutlying):
+                found += [outlier_reason(c) for c in rule.columns]
+            else:
+                found.append(rule.reason)
+        return found
+
     @property
     def parents(self) -> list[str]:
         return [rule.table for rule in self.rules if isinstance(rule, References)]
@@ -84,11 +104,14 @@ def tag_table(
     """Normalised rows with the reason each one is rejected for, NULL if accepted.
 
     The normalised rows are parsed and written once; keys, statistics and missing parents
-    are then found on the few columns they need.
+    are then found on the few columns they need. Lines that ``read_csv`` marked as malformed
+    are rejected before all rules.
     """
     area = StagingArea.for_frame(raw, area)
     df = raw if POSITION in raw.columns else with_positions(raw)
     df = untagged(normalize(df, contract.columns, contract.derived))
+    if MALFORMED in df.columns:
+        df = df.withColumn(REASON, F.when(F.col(MALFORMED).isNotNull(), F.lit(MALFORMED_ROW)))
     staged = False
     for is_row_rule, group in groupby(contract.rules, lambda rule: isinstance(rule, RowRule)):
         if is_row_rule:

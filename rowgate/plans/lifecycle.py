@@ -1,25 +1,24 @@
 """From raw tables to a published fact: clean, check, judge, publish.
 
-Clean rows carry a manifest with the run and a version of their own. The report names the
-version it checked, the verdict the one that was judged, and only that one is published.
+Clean and quarantined rows of a run are one version, committed at once with a manifest. The
+report names the version it checked, the verdict the one that was judged, and only that one is
+published.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, field
 from datetime import date
 from functools import reduce
 from typing import TypeVar
-from uuid import uuid4
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.checks import failures_by_table, fk_violations, row_counts, run_checks
-from ..operators.duplicates import with_positions
 from ..operators.enrich import Dimension, enrich
 from ..operators.histogram import Axis, histograms
 from ..operators.split import accounting, clean_rows
@@ -27,8 +26,9 @@ from ..operators.verdict import verdicts
 from ..session import SETTINGS, settings, spread
 from ..sources.files import read_csv, read_parquet, write_split
 from ..sources.reports import read_report, read_verdict, write_report, write_verdict
-from ..sources.runs import aside, read_manifest, write_manifest
+from ..sources.runs import aside
 from ..sources.staging import StagingArea
+from ..sources.versions import new_version, read_clean, read_manifest
 from .contract import TableContract, in_parent_order, tag_table
 
 
@@ -86,12 +86,13 @@ def account(tagged: Mapping[str, DataFrame]) -> DataFrame:
 
 @dataclass(frozen=True)
 class Account:
-    """Rows of one table that were read and written."""
+    """Rows of one table that were read and written, as the jobs counted that read and wrote them."""
 
     table: str
     rows_in: int
     rows_cleaned: int
     rows_quarantined: int
+    by_reason: Mapping[str, int] = field(default_factory=dict)
 
 
 # One open file per reason and task instead of a sort of whole rows by reason.
@@ -111,43 +112,41 @@ def clean_stage(
     """Read the raw files, write clean and quarantined rows per table, return the accounting.
 
     Each row is decided once: both sides of a table are written by one pass over its staged
-    rows. All tables are written beside the old ones and compared with the rows read; then
-    both folders are swapped, the clean one with a manifest that names the run, its ``as_of``
-    and a new version. Raises, and leaves the old folders, if rows do not add up or a table
-    cannot be written.
+    rows. Lines that have not as many fields as their file's header are quarantined as they
+    stand. The job that reads a table counts its rows, the job that writes it those of each
+    reason; nothing is read again to count. Both folders become the current version by one commit,
+    with a manifest that names the run, its ``as_of`` and the counts; older versions stay
+    until ``expire`` deletes them. Raises, and leaves the version before, if rows do not add
+    up, have a reason that the contract does not know, or cannot be written.
     """
-    read: dict[str, DataFrame] = {}
+    lines: dict[str, Account] = {}
     with (
         settings(spark, SETTINGS | WRITERS), StagingArea(spark) as area,
-        aside(spark, cleaned_dir) as cleaned_new, aside(spark, quarantine_dir) as quarantine_new,
+        new_version(spark, cleaned_dir, quarantine_dir) as version,
     ):
 
         def clean(contract: TableContract, parents: Mapping[str, DataFrame]) -> DataFrame:
-            name, part = contract.name, area.part(contract.name)
-            raw = spread(with_positions(read_csv(spark, sources[name], **csv_options)))
+            name, part, seen = contract.name, area.part(contract.name), Observation()
+            raw = spread(read_csv(spark, sources[name], malformed="mark", positions=True, **csv_options))
+            raw = raw.observe(seen, F.count(F.lit(1)).alias("rows"))
             tagged = tag_table(raw, contract, parents, part)
-            read[name] = part.tables.get(name, raw)  # counting staged rows parses no text again
-            write_split(tagged, f"{cleaned_new.path}/{name}", f"{quarantine_new.path}/{name}")
-            return read_parquet(spark, f"{cleaned_new.path}/{name}")
-
-        cleaned = in_waves(spark, contracts, clean, lambda df: df)
-        lines = []
-        for name in contracts:
-            rejected = spark.read.schema("rejection_reason string").parquet(f"{quarantine_new.path}/{name}")
-            line = Account(name, read[name].count(), cleaned[name].count(), rejected.count())
-            if line.rows_in != line.rows_cleaned + line.rows_quarantined:
+            counts = write_split(
+                tagged, f"{version.cleaned}/{name}", f"{version.quarantine}/{name}", contract.reasons
+            )
+            line = Account(name, seen.get["rows"], counts.accepted, counts.rejected, counts.by_reason)
+            if line.rows_in != counts.rows:
                 raise RuntimeError(f"rows do not add up: {line}")
-            lines.append(line)
-        write_manifest(
-            spark, cleaned_new.path,
+            lines[name] = line
+            return read_parquet(spark, f"{version.cleaned}/{name}")
+
+        in_waves(spark, contracts, clean, lambda df: df)
+        version.commit(
             {
-                "run_id": run_id, "version": uuid4().hex, "as_of": as_of and as_of.isoformat(),
-                "tables": [asdict(line) for line in lines],
-            },
+                "run_id": run_id, "as_of": as_of and as_of.isoformat(),
+                "tables": [asdict(lines[name]) for name in contracts],
+            }
         )
-        quarantine_new.swap()
-        cleaned_new.swap()
-    return lines
+    return [lines[name] for name in contracts]
 
 
 def _manifest(spark: SparkSession, cleaned_dir: str, run_id: str) -> dict:
@@ -175,7 +174,7 @@ def check_stage(
     """
     manifest = _manifest(spark, cleaned_dir, run_id)
     with settings(spark), StagingArea(spark) as area:
-        tables = {name: read_parquet(spark, f"{cleaned_dir}/{name}") for name in contracts}
+        tables = {name: read_clean(spark, cleaned_dir, name, manifest.get("version")) for name in contracts}
         suites = [c.suite for c in contracts.values()]
         results = area.stage(run_checks(tables, suites, run_id, area=area), "results")
         if charts_path:
@@ -261,7 +260,7 @@ def publish_stage(
     """Join the clean fact with its dimensions and publish it if the verdict is about these rows."""
     version = read_manifest(spark, cleaned_dir).get("version")
     names = [fact, *(d.table for d in dimensions)]
-    tables = {name: read_parquet(spark, f"{cleaned_dir}/{name}") for name in names}
+    tables = {name: read_clean(spark, cleaned_dir, name, version) for name in names}
     gold = enrich(tables[fact], tables, dimensions)
 
     def unchanged() -> bool:

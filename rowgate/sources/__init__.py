@@ -1,20 +1,25 @@
 """Reading and writing: delimited text, Parquet, intermediate tables and reports."""
 
-from .files import read_csv, read_parquet, read_quarantine, write_parquet, write_split
+from .files import SplitCounts, read_csv, read_parquet, read_quarantine, write_parquet, write_split
 from .reports import read_report, read_verdict, write_report, write_verdict
-from .runs import aside, read_manifest, write_manifest
+from .runs import aside
 from .staging import StagingArea
+from .versions import expire, manifests, read_clean, read_manifest, read_rejected
 
 __all__ = [
+    "SplitCounts",
     "StagingArea",
     "aside",
+    "expire",
+    "manifests",
+    "read_clean",
     "read_csv",
     "read_manifest",
     "read_parquet",
     "read_quarantine",
+    "read_rejected",
     "read_report",
     "read_verdict",
-    "write_manifest",
     "write_parquet",
     "write_report",
     "write_split",

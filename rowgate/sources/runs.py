@@ -1,4 +1,4 @@
-"""Folders that change as a whole, and the manifest that ties them to a run.
+"""Folders that change as a whole.
 
 What is written goes to a new folder beside the target. When all of it is there and has been
 compared, it takes the place of the target by renaming; until then readers see the old
@@ -16,8 +16,6 @@ from pyspark.sql import SparkSession
 
 from .staging import file_system
 
-MANIFEST = "_manifest.json"
-
 
 class Aside:
     """A new folder beside ``target``, which it replaces on ``swap``."""
@@ -63,9 +61,8 @@ def move(spark: SparkSession, source: str, target: str) -> bool:
     return fs.exists(old) and fs.rename(old, file_system(spark, target)[1])
 
 
-def write_manifest(spark: SparkSession, folder: str, content: dict) -> None:
-    """Write the manifest of a folder: run, version and row counts."""
-    fs, path = file_system(spark, f"{folder}/{MANIFEST}")
+def write_json(spark: SparkSession, file: str, content: dict) -> None:
+    fs, path = file_system(spark, file)
     out = fs.create(path, True)
     try:
         out.write(bytearray(json.dumps(content, indent=1).encode()))
@@ -73,11 +70,8 @@ def write_manifest(spark: SparkSession, folder: str, content: dict) -> None:
         out.close()
 
 
-def read_manifest(spark: SparkSession, folder: str) -> dict:
-    """The manifest of a folder; empty if it has none."""
-    fs, path = file_system(spark, f"{folder}/{MANIFEST}")
-    if not fs.exists(path):
-        return {}
+def read_json(spark: SparkSession, file: str) -> dict:
+    fs, path = file_system(spark, file)
     stream = fs.open(path)
     try:
         return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))

@@ -23,7 +23,7 @@ from rowgate.plans.lifecycle import (
     publish_stage,
     tag_tables,
 )
-from rowgate.sources import StagingArea, read_csv, read_manifest, read_verdict
+from rowgate.sources import StagingArea, expire, manifests, read_clean, read_csv, read_manifest, read_rejected, read_verdict
 
 CONTRACTS = preset.healthcare(AS_OF, FIRST_BY)
 
@@ -40,7 +40,7 @@ def run(spark, tmp_path_factory):
 
 
 def _cleaned(spark, run, name):
-    return spark.read.parquet(f"{run[0]}/cleaned/{name}")
+    return read_clean(spark, f"{run[0]}/cleaned", name)
 
 
 def test_no_row_is_lost(spark, run):
@@ -50,7 +50,9 @@ def test_no_row_is_lost(spark, run):
         assert a.rows_in == read_csv(spark, sources[a.table]).count()
         assert a.rows_in == a.rows_cleaned + a.rows_quarantined
         assert a.rows_cleaned > 0 and a.rows_quarantined > 0
-        quarantine = spark.read.parquet(f"{out}/quarantine/{a.table}")
+        quarantine = read_rejected(spark, f"{out}/cleaned", f"{out}/quarantine", a.table)
+        assert a.by_reason == {r[0]: r[1] for r in quarantine.groupBy("rejection_reason").count().collect()}
+        assert _cleaned(spark, run, a.table).count() == a.rows_cleaned
         assert quarantine.columns == [*_cleaned(spark, run, a.table).columns, "rejection_reason"]
         assert quarantine.where(F.col("rejection_reason").isNull()).isEmpty()
 
@@ -73,7 +75,7 @@ def test_files_give_the_same_split_as_tables(spark, run):
     )
     for name, df in tagged.items():
         expected = quarantined_rows(df)
-        written = spark.read.parquet(f"{run[0]}/quarantine/{name}").select(expected.columns)
+        written = read_rejected(spark, f"{run[0]}/cleaned", f"{run[0]}/quarantine", name).select(expected.columns)
         assert written.exceptAll(expected).isEmpty() and expected.exceptAll(written).isEmpty()
 
 
@@ -151,7 +153,7 @@ def test_a_failed_write_leaves_what_was_there(spark, tmp_path):
     clean, publish = _orders_run(spark, tmp_path, [("1", "a"), ("2", "b")])
     publish_stage(*publish)
     broken = F.raise_error(F.lit("no more")).cast("string")
-    fact = spark.read.parquet(f"{tmp_path}/cleaned/t")
+    fact = read_clean(spark, f"{tmp_path}/cleaned", "t")
     verdict = read_verdict(spark, f"{tmp_path}/verdict")
     version = read_manifest(spark, f"{tmp_path}/cleaned")["version"]
     with pytest.raises(Exception, match="no more"):
@@ -162,8 +164,10 @@ def test_a_failed_write_leaves_what_was_there(spark, tmp_path):
     contract = TableContract("t", "id", columns={"v": lambda c: F.raise_error(F.lit("no more")).cast("string")})
     with pytest.raises(Exception, match="no more"):
         clean_stage(spark, {"t": contract}, *clean[2:])
-    assert spark.read.parquet(f"{tmp_path}/cleaned/t").count() == 2
+    assert read_clean(spark, f"{tmp_path}/cleaned", "t").count() == 2
     assert read_manifest(spark, f"{tmp_path}/cleaned")["version"] == version
+    assert sorted(os.listdir(f"{tmp_path}/cleaned")) == sorted([version, "_versions"])
+    assert os.listdir(f"{tmp_path}/quarantine") == [version]
     assert not [p for p in os.listdir(tmp_path) if p.startswith("_")]
 
 
