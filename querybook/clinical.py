@@ -94,9 +94,9 @@ def messy_patients(t) -> DataFrame:
 def messy_providers(t) -> DataFrame:
     return t.supplier.select(
         F.expr("lpad(cast(s_suppkey as string), 12, '0')").alias("source_row"),
-        F.expr(_id("Q", "if(s_suppkey % 25 = 1, s_suppkey - 1, s_suppkey)", "s_suppkey")).alias(
-            "provider_id"
-        ),
+        _or(
+            "null", "s_suppkey % 21 = 8", _id("Q", "if(s_suppkey % 25 = 1, s_suppkey - 1, s_suppkey)", "s_suppkey")
+        ).alias("provider_id"),
         _or("-", "s_suppkey % 20 = 3", "cast(s_suppkey as string)").alias("npi"),
         F.expr("concat('st', s_nationkey)").alias("state"),
         F.expr("concat('Specialty ', s_nationkey, ' ')").alias("specialty"),
@@ -133,7 +133,7 @@ def messy_encounters(t) -> DataFrame:
 def _line_columns(letter: str):
     """Id, order columns and encounter of a table made of order lines."""
     return [
-        F.expr(f"concat('{letter.lower()}', l_orderkey, '-', l_linenumber)"),
+        _or("N/A", "l_partkey % 70 = 12", f"concat('{letter.lower()}', l_orderkey, '-', l_linenumber)"),
         F.col("l_partkey").cast("string").alias("part"),
         F.col("l_suppkey").cast("string").alias("supp"),
         F.expr("cast(cast(round(l_extendedprice * 100) as bigint) as string)").alias("cents"),
@@ -213,12 +213,12 @@ def messy_vitals(t) -> DataFrame:
             "event_id % 45 = 4",
             _id("V", "if(event_id % 30 = 1, event_id - 1, event_id)", "event_id"),
         ).alias("vitals_id"),
-        F.expr(_id("E", "event_id", "user_id")).alias("encounter_id"),
+        _or("-", "event_id % 50 = 14", _id("E", "event_id", "user_id")).alias("encounter_id"),
         written("ts", "event_id", fixed.TIMESTAMP_FORMATS).alias("recorded_datetime"),
         reading("if(event_id % 4 = 0, 98 + (cents % 60) / 10, 36.5D + value / 100)").alias(
             "temperature_celsius"
         ),
-        reading("if(value > 300, 120, 90 + cents % 10)").alias("spo2_pct"),
+        reading("if(value > 300, 120, if(event_id % 500 = 17, 20, 90 + cents % 10))").alias("spo2_pct"),
         reading("40 + value").alias("heart_rate_bpm"),
         reading("80 + value / 4").alias("systolic_bp_mmhg"),
         reading("60 + value / 8").alias("diastolic_bp_mmhg"),
@@ -290,6 +290,12 @@ def _sql_id(letter: str, key: str) -> str:
 _LINES_SQL = f"""l_partkey::VARCHAR AS part, l_suppkey::VARCHAR AS supp,
     round(l_extendedprice * 100)::BIGINT::VARCHAR AS cents,
     CASE WHEN l_partkey % 90 <> 8 THEN {_sql_id("E", "l_orderkey")} END AS encounter_id"""
+
+
+def _line_id_sql(letter: str) -> str:
+    return f"CASE WHEN l_partkey % 70 <> 12 THEN '{letter}' || l_orderkey || '-' || l_linenumber END"
+
+
 _LINE_PATIENT_SQL = f"CASE WHEN l_partkey % 80 <> 6 THEN {_sql_id('P', 'l_partkey * 3 // 4')} END"
 
 
@@ -329,10 +335,11 @@ SQL = {
                    DATE '2015-01-01' + (c_custkey % 3000)::INTEGER AS registered FROM customer))),
   patients AS (SELECT *, why1 AS rejection_reason FROM {_dup("patients", "patient_id")})""",
     "providers": f"""
-  providers_0 AS (SELECT *, CASE WHEN npi IS NULL THEN 'null npi' END AS why0 FROM
+  providers_0 AS (SELECT *, CASE WHEN provider_id IS NULL THEN 'null provider_id'
+      WHEN npi IS NULL THEN 'null npi' END AS why0 FROM
     (SELECT lpad(s_suppkey::VARCHAR, 12, '0') AS source_row,
-      {_sql_id("Q", "CASE WHEN s_suppkey % 25 = 1 THEN s_suppkey - 1 ELSE s_suppkey END")}
-        AS provider_id,
+      CASE WHEN s_suppkey % 21 <> 8 THEN
+        {_sql_id("Q", "CASE WHEN s_suppkey % 25 = 1 THEN s_suppkey - 1 ELSE s_suppkey END")} END AS provider_id,
       CASE WHEN s_suppkey % 20 <> 3 THEN s_suppkey::VARCHAR END AS npi,
       'ST' || s_nationkey AS state, 'Specialty ' || s_nationkey AS specialty,
       CASE WHEN s_suppkey % 7 < 4 THEN 'True' WHEN s_suppkey % 7 < 6 THEN 'False' END
@@ -364,10 +371,11 @@ SQL = {
     LEFT JOIN (SELECT provider_id AS k FROM providers WHERE rejection_reason IS NULL) q
       ON q.k = x.provider_id)""",
     "diagnoses": f"""
-  diagnoses_0 AS (SELECT *, CASE WHEN encounter_id IS NULL THEN 'null encounter_id'
+  diagnoses_0 AS (SELECT *, CASE WHEN diagnosis_id IS NULL THEN 'null diagnosis_id'
+      WHEN encounter_id IS NULL THEN 'null encounter_id'
       WHEN icd10_code IS NULL THEN 'null icd10_code'
       WHEN icd10_code = 'BAD' THEN 'malformed icd10_code' END AS why0
-    FROM (SELECT 'D' || l_orderkey || '-' || l_linenumber AS diagnosis_id, {_LINES_SQL},
+    FROM (SELECT {_line_id_sql("D")} AS diagnosis_id, {_LINES_SQL},
       CASE WHEN l_partkey % 11 = 0 THEN 'BAD' WHEN l_partkey % 12 = 5 THEN NULL
         ELSE 'A' || lpad((l_partkey % 100)::VARCHAR, 2, '0') || '.1X' END AS icd10_code,
       CASE WHEN l_partkey % 16 <> 2 THEN {_sql_date("l_shipdate", "l_partkey")} END AS onset_date,
@@ -375,9 +383,10 @@ SQL = {
       {_sql_flag("l_orderkey")} AS confirmed FROM lineitem)),
   {_child("diagnoses", _dup("diagnoses", "diagnosis_id"), "why1")}""",
     "lab_results": f"""
-  lab_results_0 AS (SELECT *, CASE WHEN encounter_id IS NULL THEN 'null encounter_id'
+  lab_results_0 AS (SELECT *, CASE WHEN lab_id IS NULL THEN 'null lab_id'
+      WHEN encounter_id IS NULL THEN 'null encounter_id'
       WHEN patient_id IS NULL THEN 'null patient_id' END AS why0
-    FROM (SELECT 'L' || l_orderkey || '-' || l_linenumber AS lab_id, {_LINES_SQL},
+    FROM (SELECT {_line_id_sql("L")} AS lab_id, {_LINES_SQL},
       {_LINE_PATIENT_SQL} AS patient_id, l_partkey % 5 < 2 AS result_operator_flag,
       CASE WHEN l_partkey % 5 <> 2 THEN l_suppkey::VARCHAR END AS result_value,
       {_sql_time("taken", "l_partkey")} AS collection_datetime,
@@ -388,9 +397,10 @@ SQL = {
             AS taken FROM lineitem))),
   {_child("lab_results", _dup("lab_results", "lab_id"), "why1")}""",
     "medications": f"""
-  medications_0 AS (SELECT *, CASE WHEN encounter_id IS NULL THEN 'null encounter_id'
+  medications_0 AS (SELECT *, CASE WHEN medication_id IS NULL THEN 'null medication_id'
+      WHEN encounter_id IS NULL THEN 'null encounter_id'
       WHEN patient_id IS NULL THEN 'null patient_id' END AS why0
-    FROM (SELECT 'M' || l_orderkey || '-' || l_linenumber AS medication_id, {_LINES_SQL},
+    FROM (SELECT {_line_id_sql("M")} AS medication_id, {_LINES_SQL},
       {_LINE_PATIENT_SQL} AS patient_id, l_suppkey || 'mg' AS dosage,
       CASE l_partkey % 10 WHEN 0 THEN 'PO' WHEN 1 THEN 'PO' WHEN 2 THEN 'PO' WHEN 3 THEN 'IV'
         WHEN 4 THEN 'IM' WHEN 5 THEN 'SQ' WHEN 6 THEN 'TOPICAL' WHEN 7 THEN 'INHALED'
@@ -411,15 +421,17 @@ SQL = {
                            FROM medications_1 WHERE why1 IS NULL)),
   {_child("medications", "medications_2", "why2")}""",
     "vitals": f"""
-  vitals_0 AS (SELECT *, CASE WHEN vitals_id IS NULL THEN 'null vitals_id' END AS why0
+  vitals_0 AS (SELECT *, CASE WHEN vitals_id IS NULL THEN 'null vitals_id'
+      WHEN encounter_id IS NULL THEN 'null encounter_id' END AS why0
     FROM (SELECT lpad(event_id::VARCHAR, 15, '0') AS source_row,
       CASE WHEN event_id % 45 <> 4 THEN {_sql_id("V", "CASE WHEN event_id % 30 = 1 THEN event_id - 1 ELSE event_id END")} END AS vitals_id,
-      {_sql_id("E", "event_id")} AS encounter_id, {_sql_time("ts", "event_id")} AS recorded_datetime,
+      CASE WHEN event_id % 50 <> 14 THEN {_sql_id("E", "event_id")} END AS encounter_id,
+      {_sql_time("ts", "event_id")} AS recorded_datetime,
       CASE WHEN event_id % 33 = 2 THEN NULL WHEN event_id % 4 = 0
         THEN round((98 + (cents % 60) / 10 - 32) * 5.0::DOUBLE / 9.0::DOUBLE, 2)
         ELSE 36.5::DOUBLE + value / 100 END AS temperature_celsius,
-      CASE WHEN event_id % 33 <> 2 THEN CASE WHEN value > 300 THEN 120.0 ELSE 90 + cents % 10 END
-        END::DOUBLE AS spo2_pct,
+      CASE WHEN event_id % 33 <> 2 THEN CASE WHEN value > 300 THEN 120.0
+        WHEN event_id % 500 = 17 THEN 20 ELSE 90 + cents % 10 END END::DOUBLE AS spo2_pct,
       CASE WHEN event_id % 33 <> 2 THEN 40 + value END AS heart_rate_bpm,
       CASE WHEN event_id % 33 <> 2 THEN 80 + value / 4 END AS systolic_bp_mmhg,
       CASE WHEN event_id % 33 <> 2 THEN 60 + value / 8 END AS diastolic_bp_mmhg,

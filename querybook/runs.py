@@ -35,6 +35,13 @@ class Run:
         for name, path in self.sources.items():
             MESSY[name](t).write.csv(path, header=True)
 
+    def on(self, as_of: date) -> Run:
+        """The same files and folders, cleaned on another day."""
+        self.as_of = as_of
+        every = healthcare(as_of, FIRST_BY)
+        self.contracts = {name: every[name] for name in NAMES}
+        return self
+
     def clean(self):
         return clean_stage(
             self.spark, self.contracts, self.sources, f"{self.out}/cleaned", f"{self.out}/quarantine", RUN, self.as_of

@@ -38,6 +38,7 @@ def main(arguments: list[str] | None = None) -> int:
     as_of = args.as_of or (date.fromisoformat(stored) if stored else date.today())
     contracts = preset.healthcare(as_of)
     verdict = f"{args.out}/verdict"
+    now = datetime.now(timezone.utc).isoformat()
     if args.stage == "clean":
         sources = {name: f"{args.source}/{file}" for name, file in preset.SOURCE_FILES.items()}
         for line in clean_stage(
@@ -46,10 +47,11 @@ def main(arguments: list[str] | None = None) -> int:
             print(line)
     elif args.stage == "check":
         charts = f"{args.out}/quality_charts"
-        results = check_stage(spark, contracts, cleaned, report, args.run_id, charts, preset.CHARTS)
+        results = check_stage(
+            spark, contracts, cleaned, report, args.run_id, charts, preset.CHARTS, f"{args.out}/ledger", now
+        )
         results.orderBy("ord").show(100, False)
     elif args.stage == "judge":
-        now = datetime.now(timezone.utc).isoformat()
         judge_stage(spark, report, verdict, now).show(truncate=False)
     else:
         try:

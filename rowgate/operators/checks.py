@@ -2,7 +2,8 @@
 
 A check counts the rows that fail it. All checks of a table that look at one row at a
 time are counted by a single aggregation; duplicates and foreign keys each add one
-aggregation by key. Samples of failing ids are taken only for checks that failed.
+aggregation by key. Ranges of typed columns that no other check needs are counted by a filter
+that file statistics decide: row groups within the limits are not read. Samples of failing ids are taken only for checks that failed.
 """
 
 from __future__ import annotations
@@ -10,16 +11,19 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, DataType, DateType, DoubleType, IntegerType, LongType, ShortType
 
 from .. import fixed_values as fixed
 from ..functions.dates import iso_date
-from ..functions.names import named
+from ..functions.names import named, own_name
 from ..functions.numbers import to_double
 from ..functions.text import mask_id
 from ..sources.staging import StagingArea
+from .footers import has_statistics
 from .outliers import Moments, is_outlier, moments
 from .references import orphan_keys
 from .rules import outside
@@ -47,6 +51,16 @@ class RowCheck(Check):
     def fails(self, stats: Moments) -> Column:
         raise NotImplementedError
 
+    def beyond(self, kind: DataType) -> Column | None:
+        """The same for a column of this type as a comparison that file statistics can decide, if it is one."""
+        return None
+
+
+def _beyond(c: Column, low, high) -> Column | None:
+    sides = [c < F.lit(low)] if low is not None else []
+    sides += [c > F.lit(high)] if high is not None else []
+    return reduce(or_, sides) if sides else None
+
 
 @dataclass(frozen=True)
 class NotNull(RowCheck):
@@ -74,6 +88,12 @@ class DateBetween(RowCheck):
             iso_date(named(self.column)), bound(self.earliest), bound(self.latest)
         )
 
+    def beyond(self, kind: DataType) -> Column | None:
+        if not isinstance(kind, DateType):
+            return None
+        days = (None if day is None else F.lit(day).cast("date") for day in (self.earliest, self.latest))
+        return _beyond(named(self.column), *days)
+
 
 @dataclass(frozen=True)
 class NumberBetween(RowCheck):
@@ -87,6 +107,10 @@ class NumberBetween(RowCheck):
     def fails(self, stats: Moments) -> Column:
         return outside(to_double(named(self.column)), self.low, self.high)
 
+    def beyond(self, kind: DataType) -> Column | None:
+        numbers = (ByteType, DoubleType, IntegerType, LongType, ShortType)
+        return _beyond(named(self.column), self.low, self.high) if isinstance(kind, numbers) else None
+
 
 @dataclass(frozen=True)
 class NoOutliers(RowCheck):
@@ -148,9 +172,32 @@ def _entry(suite: Suite, check: Check, n: Column) -> Column:
     )
 
 
-def _row_counts(df: DataFrame, suite: Suite, stats: Moments) -> DataFrame:
+def _decided_by_files(df: DataFrame, suite: Suite) -> dict[str, Column]:
+    """The checks that statistics of files can decide, and that need columns of their own."""
+    if not has_statistics(df):
+        return {}
+    rows = [c for c in suite.checks if isinstance(c, RowCheck)]
+    found = {}
+    for check in rows:
+        beyond = check.beyond(df.schema[own_name(df, check.column)].dataType)
+        if beyond is not None:
+            found[check.name] = beyond
+    read_anyway = {c.column.lower() for c in rows if c.name not in found}
+    return {c.name: found[c.name] for c in rows if c.name in found and c.column.lower() not in read_anyway}
+
+
+def _filtered_counts(df: DataFrame, suite: Suite, beyond: Mapping[str, Column]) -> DataFrame:
+    """Counts of the rows beyond limits; files and row groups without any are not read."""
+    checks = [c for c in suite.checks if c.name in beyond]
+    counted = df.where(reduce(or_, (beyond[c.name] for c in checks))).agg(
+        *(F.count_if(beyond[c.name]).alias(f"c{i}") for i, c in enumerate(checks))
+    )
+    return counted.select(F.inline(F.array(*(_entry(suite, c, F.col(f"c{i}")) for i, c in enumerate(checks)))))
+
+
+def _row_counts(df: DataFrame, suite: Suite, stats: Moments, without: Mapping[str, Column] | None = None) -> DataFrame:
     """Counts of the row checks, and the row count of the table under a NULL check."""
-    checks = [c for c in suite.checks if isinstance(c, RowCheck)]
+    checks = [c for c in suite.checks if isinstance(c, RowCheck) and c.name not in (without or {})]
     one_row = df.agg(
         F.count(F.lit(1)).alias("rows"),
         *(F.count_if(c.fails(stats)).alias(f"c{i}") for i, c in enumerate(checks)),
@@ -183,7 +230,10 @@ def _orphan_count(df: DataFrame, check: HasParent, parents: Mapping[str, DataFra
 
 def _count_table(df: DataFrame, suite: Suite, parents: Mapping[str, DataFrame]) -> DataFrame:
     outlier_columns = [c.column for c in suite.checks if isinstance(c, NoOutliers)]
-    parts = [_row_counts(df, suite, moments(df, dict.fromkeys(outlier_columns)))]
+    by_files = _decided_by_files(df, suite)
+    parts = [_row_counts(df, suite, moments(df, dict.fromkeys(outlier_columns)), by_files)]
+    if by_files:
+        parts.append(_filtered_counts(df, suite, by_files))
     for check in suite.checks:
         if isinstance(check, UniqueKey):
             counted = _duplicate_count(df, check)
@@ -210,29 +260,32 @@ def _samples(
     area: StagingArea,
     size: int,
 ) -> DataFrame | None:
-    """(table, check, sample_ids) for the failed checks that are sampled, else None."""
+    """(table, check, sample_ids) for the failed checks that are sampled, else None.
+
+    One scan of the table tells the rows that fail row checks and those without a parent, by
+    the short lists of missing parents; repeated keys are found by one grouping of that column.
+    """
     checks = [c for c in suite.checks if c.name in failed and c.sampled]
     parts = []
     key = named(suite.key).alias("id")
-    row_checks = [c for c in checks if isinstance(c, RowCheck)]
-    if row_checks:
-        names = F.array(*(F.when(c.fails({}), F.lit(c.name)) for c in row_checks))
-        failing = df.select(F.explode(F.array_compact(names)).alias("check"), key)
-        parts.append(_lowest(failing.where(F.col("id").isNotNull()), size))
-    for check in checks:
-        if isinstance(check, UniqueKey):
-            failing = _duplicate_groups(df, check.column)
+    scan, fails = df, []
+    for i, check in enumerate(checks):
+        if isinstance(check, RowCheck):
+            fails.append(F.when(check.fails({}), F.lit(check.name)))
         elif isinstance(check, HasParent):
             orphans = orphan_keys(
                 df, check.column, parents[check.parent], check.parent_key or check.column
             )
-            orphans = area.stage(orphans, "orphan-keys")
-            with_orphan = df.join(orphans, named(check.column) == F.col("_orphan"), "left")
-            missing = named(check.column).isNull() | F.col("_orphan").isNotNull()
-            failing = with_orphan.where(missing).select(key).where(F.col("id").isNotNull())
-        else:
-            continue
-        parts.append(_lowest(failing.select(F.lit(check.name).alias("check"), "id"), size))
+            orphans = area.stage(orphans, "orphan-keys").withColumnRenamed("_orphan", f"_orphan_{i}")
+            scan = scan.join(orphans, named(check.column) == F.col(f"_orphan_{i}"), "left")
+            missing = named(check.column).isNull() | F.col(f"_orphan_{i}").isNotNull()
+            fails.append(F.when(missing, F.lit(check.name)))
+        elif isinstance(check, UniqueKey):
+            repeated = _duplicate_groups(df, check.column)
+            parts.append(_lowest(repeated.select(F.lit(check.name).alias("check"), "id"), size))
+    if fails:
+        failing = scan.select(F.explode(F.array_compact(F.array(*fails))).alias("check"), key)
+        parts.append(_lowest(failing.where(F.col("id").isNotNull()), size))
     if not parts:
         return None
     ranked = F.array_sort(F.collect_list(F.struct("rank", mask_id(F.col("id")).alias("id"))))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .. import fixed_values as fixed
 from ..functions.names import named
 from ..functions.numbers import finite_or_null
+from .footers import footer_ranges
 
 
 @dataclass(frozen=True)
@@ -47,8 +48,9 @@ def histograms(
 ) -> DataFrame:
     """Counts per bin of every axis, empty bins included.
 
-    One pass for the ranges and one for the counts of each table; at most ``bins`` rows
-    per column leave a task. NULL, NaN and infinite values are left out.
+    One pass for the counts of each table; at most ``bins`` rows per column leave a task. The
+    ranges come from the footers of Parquet files, or from a pass of their own where these do not
+    have them. NULL, NaN and infinite values are left out.
     """
     parts = []
     for table in dict.fromkeys(axis.table for axis in axes):
@@ -56,15 +58,21 @@ def histograms(
     return reduce(DataFrame.unionByName, parts)
 
 
-def _table_histograms(df: DataFrame, axes: list[Axis], bins: int) -> list[DataFrame]:
-    values = [finite_or_null(named(a.column)) for a in axes]
-    ranges = df.agg(
+def _scanned_ranges(df: DataFrame, values: list[Column]) -> list[tuple[float | None, float | None]]:
+    row = df.agg(
         *(F.min(v).alias(f"low_{i}") for i, v in enumerate(values)),
         *(F.max(v).alias(f"high_{i}") for i, v in enumerate(values)),
     ).first()
+    return [(row[f"low_{i}"], row[f"high_{i}"]) for i in range(len(values))]
+
+
+def _table_histograms(df: DataFrame, axes: list[Axis], bins: int) -> list[DataFrame]:
+    values = [finite_or_null(named(a.column)) for a in axes]
+    known = footer_ranges(df, [a.column for a in axes])
+    ranges = known or _scanned_ranges(df, values)
     placed, charts = [], []
     for i, axis in enumerate(axes):
-        low, high = ranges[f"low_{i}"], ranges[f"high_{i}"]
+        low, high = ranges[i]
         if low is None:
             continue
         low, high, width = _edges(low, high, bins)

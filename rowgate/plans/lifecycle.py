@@ -25,6 +25,7 @@ from ..operators.split import accounting, clean_rows
 from ..operators.verdict import verdicts
 from ..session import SETTINGS, settings, spread
 from ..sources.files import read_csv, read_parquet, write_split
+from ..sources.ledger import record_run
 from ..sources.reports import read_report, read_verdict, write_report, write_verdict
 from ..sources.runs import aside
 from ..sources.staging import StagingArea
@@ -124,6 +125,7 @@ def clean_stage(
         settings(spark, SETTINGS | WRITERS), StagingArea(spark) as area,
         new_version(spark, cleaned_dir, quarantine_dir) as version,
     ):
+        cleaned_new, quarantine_new = version.paths
 
         def clean(contract: TableContract, parents: Mapping[str, DataFrame]) -> DataFrame:
             name, part, seen = contract.name, area.part(contract.name), Observation()
@@ -131,13 +133,13 @@ def clean_stage(
             raw = raw.observe(seen, F.count(F.lit(1)).alias("rows"))
             tagged = tag_table(raw, contract, parents, part)
             counts = write_split(
-                tagged, f"{version.cleaned}/{name}", f"{version.quarantine}/{name}", contract.reasons
+                tagged, f"{cleaned_new}/{name}", f"{quarantine_new}/{name}", contract.reasons
             )
             line = Account(name, seen.get["rows"], counts.accepted, counts.rejected, counts.by_reason)
             if line.rows_in != counts.rows:
                 raise RuntimeError(f"rows do not add up: {line}")
             lines[name] = line
-            return read_parquet(spark, f"{version.cleaned}/{name}")
+            return read_parquet(spark, f"{cleaned_new}/{name}")
 
         in_waves(spark, contracts, clean, lambda df: df)
         version.commit(
@@ -165,9 +167,15 @@ def check_stage(
     run_id: str,
     charts_path: str | None = None,
     axes: Sequence[Axis] = (),
+    ledger_path: str | None = None,
+    checked_at: str | None = None,
 ) -> DataFrame:
     """Run every check on the clean tables and write the report.
 
+    With ``ledger_path``, the results are also added to the ledger of runs there, at
+    ``checked_at`` (ISO text; by default the run id), so that ``with_drift`` and
+    ``verdict_history`` can compare runs.
+
     With ``charts_path``, the numbers behind the charts are written there too, as one Parquet
     table each: ``row_counts``, ``failures_by_table``, ``fk_violations`` and, if there are
     ``axes``, ``histograms``.
@@ -183,6 +191,8 @@ def check_stage(
                     chart.write.parquet(f"{new.path}/{name}")
                 new.swap()
         write_report(results, report_path, manifest.get("version"))
+        if ledger_path:
+            record_run(results, ledger_path, checked_at or run_id, manifest.get("version"))
     return read_report(spark, report_path)[0]
 
 
@@ -223,13 +233,17 @@ def publish_if(
     path: str,
     version: str | None = None,
     unchanged: Callable[[], bool] = lambda: True,
+    versioned: bool = False,
 ) -> int:
     """Write ``gold`` if the verdict of the run allows it, else raise and write nothing.
 
-    The joins run into a folder beside ``path``, whose rows are compared with the fact's; then
-    it takes the place of ``path``. So neither a failed write nor a dimension with repeated
-    keys reaches readers. ``unchanged`` says, when all is read, whether the data still is the
-    version that was judged.
+    The joins run into a folder beside ``path``, and the rows that they write, counted by the
+    job itself, are compared with the fact's; then it takes the place of ``path``. So neither a failed
+    write nor a dimension with repeated keys reaches readers. ``unchanged`` says, when all is
+    read, whether the data still is the version that was judged.
+
+    ``versioned`` commits the folder as the current version of ``path`` instead, with the
+    run, the version of the data and the rows in its manifest; ``read_version`` reads it.
     """
     spark = gold.sparkSession
     if not may_publish(verdict, run_id, version):
@@ -237,14 +251,19 @@ def publish_if(
             raise PublishBlocked(f"the data was cleaned again after run {run_id} was judged")
         summaries = [r["summary"] for r in verdict.where(F.col("run_id") == run_id).collect()]
         raise PublishBlocked("; ".join(summaries) or f"no verdict for run {run_id}")
-    with aside(spark, path) as new:
-        gold.write.parquet(new.path)
-        rows_in, rows_out = fact.count(), read_parquet(spark, new.path).count()
+    with new_version(spark, path) if versioned else aside(spark, path) as new:
+        seen = Observation()
+        watched = gold.observe(seen, F.count(F.lit(1)).alias("rows"))
+        watched.write.parquet(new.paths[0] if versioned else new.path)
+        rows_in, rows_out = fact.count(), seen.get["rows"]
         if not unchanged():
             raise PublishBlocked(f"the data was cleaned again while run {run_id} was published")
         if rows_in != rows_out:
             raise RuntimeError(f"the joins turned {rows_in} rows into {rows_out}")
-        new.swap()
+        if versioned:
+            new.commit({"run_id": run_id, "data_version": version, "rows": rows_out})
+        else:
+            new.swap()
     return rows_out
 
 
@@ -256,8 +275,12 @@ def publish_stage(
     verdict_path: str,
     gold_path: str,
     run_id: str,
+    versioned: bool = False,
 ) -> int:
-    """Join the clean fact with its dimensions and publish it if the verdict is about these rows."""
+    """Join the clean fact with its dimensions and publish it if the verdict is about these rows.
+
+    ``versioned`` keeps the published tables of earlier runs, as ``publish_if`` says.
+    """
     version = read_manifest(spark, cleaned_dir).get("version")
     names = [fact, *(d.table for d in dimensions)]
     tables = {name: read_clean(spark, cleaned_dir, name, version) for name in names}
@@ -267,4 +290,4 @@ def publish_stage(
         return read_manifest(spark, cleaned_dir).get("version") == version
 
     verdict = read_verdict(spark, verdict_path)
-    return publish_if(verdict, run_id, tables[fact], gold, gold_path, version, unchanged)
+    return publish_if(verdict, run_id, tables[fact], gold, gold_path, version, unchanged, versioned)

@@ -1,16 +1,16 @@
-"""Versions of the clean and the quarantined tables, committed together.
-
-Each run of the clean stage writes to new folders, ``<cleaned>/<id>`` and
-``<quarantine>/<id>``. They become the current version by one small file, ``<cleaned>/_versions/<number>.json``,
-which names both and holds the manifest: it is written beside and renamed to the next number.
-Readers take the highest number, so they see both tables of a run or neither, at every moment
-and after every failure. Nothing large is renamed, and older versions stay readable until
-``expire`` deletes them. Of two writers that commit the same number, the later one fails.
+"""Versions of tables that change together, committed at once.
+
+Each run writes to new folders, ``<folder>/<id>``: the clean stage one among the clean tables and
+one among the quarantined ones, a versioned gold table one of its own. They become the
+current version by one small file, ``<first folder>/_versions/<number>.json``, which holds the id and
+the manifest: it is written beside and renamed to the next number. Readers take the highest
+number, so they see all folders of a run or none, at every moment and after every failure.
+Nothing large is renamed, and older versions stay readable until ``expire`` deletes them. Of two
+writers that commit the same number, the later one fails.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
@@ -25,15 +25,14 @@ LOG = "_versions"
 
 
 class NewVersion:
-    """Folders that become the current version on ``commit``."""
+    """A new folder in each of ``folders``, which become the current version on ``commit``."""
 
-    def __init__(self, spark: SparkSession, cleaned_dir: str, quarantine_dir: str):
+    def __init__(self, spark: SparkSession, *folders: str):
         self.spark, self.id = spark, uuid.uuid4().hex
-        self.log = f"{cleaned_dir.rstrip('/')}/{LOG}"
-        self.cleaned = f"{cleaned_dir.rstrip('/')}/{self.id}"
-        self.quarantine = f"{quarantine_dir.rstrip('/')}/{self.id}"
+        self.paths = [f"{folder.rstrip('/')}/{self.id}" for folder in folders]
+        self.log = f"{folders[0].rstrip('/')}/{LOG}"
         self.committed = False
-        self._next = 1 + max(_numbers(spark, cleaned_dir), default=0)
+        self._next = 1 + max(_numbers(spark, folders[0]), default=0)
 
     def commit(self, manifest: Mapping) -> None:
         target = f"{self.log}/{self._next:08d}.json"
@@ -42,20 +41,19 @@ class NewVersion:
         fs, new = file_system(self.spark, beside)
         _, name = file_system(self.spark, target)
         if fs.exists(name) or not fs.rename(new, name):
-            fs.delete(new, False)
             raise RuntimeError(f"another run has committed {target} meanwhile")
         self.committed = True
 
     def discard(self) -> None:
-        for path in (self.cleaned, self.quarantine, f"{self.log}/.{self.id}.json"):
+        for path in (*self.paths, f"{self.log}/.{self.id}.json"):
             fs, folder = file_system(self.spark, path)
             fs.delete(folder, True)
 
 
 @contextmanager
-def new_version(spark: SparkSession, cleaned_dir: str, quarantine_dir: str) -> Iterator[NewVersion]:
+def new_version(spark: SparkSession, *folders: str) -> Iterator[NewVersion]:
     """Folders for a new version; gone at the end unless it was committed."""
-    version = NewVersion(spark, cleaned_dir, quarantine_dir)
+    version = NewVersion(spark, *folders)
     try:
         yield version
     finally:
@@ -63,8 +61,8 @@ def new_version(spark: SparkSession, cleaned_dir: str, quarantine_dir: str) -> I
             version.discard()
 
 
-def _numbers(spark: SparkSession, cleaned_dir: str) -> list[int]:
-    fs, log = file_system(spark, f"{cleaned_dir.rstrip('/')}/{LOG}")
+def _numbers(spark: SparkSession, folder: str) -> list[int]:
+    fs, log = file_system(spark, f"{folder.rstrip('/')}/{LOG}")
     if not fs.exists(log):
         return []
     names = [status.getPath().getName() for status in fs.listStatus(log)]
@@ -97,6 +95,11 @@ def read_clean(spark: SparkSession, cleaned_dir: str, table: str, version: str |
     return read_parquet(spark, "/".join(filter(None, (cleaned_dir.rstrip("/"), version, table))))
 
 
+def read_version(spark: SparkSession, folder: str, version: str | None = None) -> DataFrame:
+    """A versioned table: its current version, or the one with this id."""
+    return read_clean(spark, folder, "", version)
+
+
 def read_rejected(
     spark: SparkSession, cleaned_dir: str, quarantine_dir: str, table: str, version: str | None = None, lines: bool = False
 ) -> DataFrame:
@@ -110,17 +113,21 @@ def read_rejected(
     return read_quarantine(spark, path, schema, lines)
 
 
-def expire(spark: SparkSession, cleaned_dir: str, quarantine_dir: str, keep: int = 2) -> list[str]:
-    """Delete all but the last ``keep`` versions, which must not be read any more; their ids."""
+def expire(spark: SparkSession, *folders: str, keep: int = 2) -> list[str]:
+    """Delete all but the last ``keep`` versions, which must not be read any more; their ids.
+
+    ``folders`` are those of the commits, the one with the log first: the clean and the
+    quarantined tables, or a versioned table alone.
+    """
     if keep < 1:
         raise ValueError("the current version stays")
-    gone = []
-    for number in _numbers(spark, cleaned_dir)[:-keep]:
-        entry = f"{cleaned_dir.rstrip('/')}/{LOG}/{number:08d}.json"
+    home, gone = folders[0].rstrip("/"), []
+    for number in _numbers(spark, home)[:-keep]:
+        entry = f"{home}/{LOG}/{number:08d}.json"
         version = read_json(spark, entry)["version"]
         # First the entry: a version that is listed is whole.
-        for path in (entry, f"{cleaned_dir.rstrip('/')}/{version}", f"{quarantine_dir.rstrip('/')}/{version}"):
-            fs, folder = file_system(spark, path)
-            fs.delete(folder, True)
+        for path in (entry, *(f"{folder.rstrip('/')}/{version}" for folder in folders)):
+            fs, place = file_system(spark, path)
+            fs.delete(place, True)
         gone.append(version)
     return gone

@@ -3,7 +3,6 @@
 import os
 
 import pytest
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowgate.operators.rules import Required, Within
@@ -11,7 +10,7 @@ from rowgate.operators.split import MALFORMED_ROW, UNNAMED
 from rowgate.plans import lifecycle
 from rowgate.plans.contract import NotOutlying, References, TableContract, Unique
 from rowgate.plans.lifecycle import clean_stage
-from rowgate.sources import expire, manifests, read_clean, read_manifest, read_quarantine, read_rejected, versions, write_split
+from rowgate.sources import expire, manifests, read_clean, read_manifest, read_quarantine, read_rejected, read_version, versions, write_split
 
 CONTRACT = TableContract("t", "id", rules=[Required("null v", "v"), Unique(("id",))])
 
@@ -72,10 +71,31 @@ def test_old_versions_stay_readable_until_they_expire(spark, tmp_path):
         expire(spark, f"{tmp_path}/cleaned", f"{tmp_path}/quarantine", keep=0)
 
 
+def test_gold_tables_of_earlier_runs_stay(spark, tmp_path):
+    """A versioned gold table changes by a commit; one that may not be published leaves it as it is."""
+    gold = f"{tmp_path}/gold"
+
+    def publish(rows, run_id, allowed=True, again=1):
+        fact = spark.createDataFrame(rows, "id string, v string")
+        verdict = spark.createDataFrame([(run_id, allowed, "no")], "run_id string, publish boolean, summary string")
+        wide = fact.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(again))))
+        return lifecycle.publish_if(verdict, run_id, fact, wide, gold, versioned=True)
+
+    assert publish(FIRST, "r1") == 3 and publish(SECOND[:2], "r2") == 2
+    for fault, options in ((lifecycle.PublishBlocked, {"allowed": False}), (RuntimeError, {"again": 2})):
+        with pytest.raises(fault):
+            publish(SECOND, "r3", **options)
+    first, second = manifests(spark, gold)
+    assert [(m["run_id"], m["rows"]) for m in (first, second)] == [("r1", 3), ("r2", 2)]
+    assert read_version(spark, gold).count() == 2 and read_version(spark, gold, first["version"]).count() == 3
+    assert sorted(os.listdir(gold)) == sorted([first["version"], second["version"], "_versions"])
+    assert expire(spark, gold, keep=1) == [first["version"]] and read_version(spark, gold).count() == 2
+
+
 def test_counts_come_from_the_jobs_that_read_and_write(spark, tmp_path, monkeypatch):
     """No table is counted, and none is read between its write and the commit but as a parent."""
     for name in ("count", "collect", "first"):
-        monkeypatch.setattr(DataFrame, name, lambda *_: pytest.fail("a job that only counts"))
+        monkeypatch.setattr(type(spark.range(0)), name, lambda *_: pytest.fail("a job that only counts"))
     line = clean(spark, tmp_path, FIRST)
     monkeypatch.undo()
     assert line == lifecycle.Account("t", 3, 1, 2, {"null v": 1, "duplicate primary key": 1})

@@ -57,6 +57,14 @@ def test_no_row_is_lost(spark, run):
         assert quarantine.where(F.col("rejection_reason").isNull()).isEmpty()
 
 
+def test_rows_are_rejected_for_every_reason_of_the_preset(run):
+    """The messy files break every rule, so that none can be lost unnoticed."""
+    for account in run[2]:
+        missing = set(CONTRACTS[account.table].reasons) - set(account.by_reason)
+        # Of readings that move together, the first column judged takes the outliers.
+        assert not {m for m in missing if not m.startswith("zscore_outlier")} and "zscore_outlier_spo2_pct" not in missing
+
+
 def test_clean_keys_are_unique_and_have_parents(spark, run):
     for name, contract in CONTRACTS.items():
         df = _cleaned(spark, run, name)
