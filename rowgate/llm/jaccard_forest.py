@@ -1,9 +1,11 @@
-"""Links between documents of similar word shingles, found by a MinHash LSH forest.
+"""Links between documents of similar word shingles, found by MinHash bands.
 
-Each of several prefix trees sorts the documents by a sequence of MinHash values of its own;
-documents meet in a tree where a prefix of that sequence agrees. The prefixes start at their
-full length and are shortened until two documents at the threshold meet in some tree with the
-target probability. All that meet are verified by their exact shingle sets, so no link is wrong.
+Each of several trees has a sequence of MinHash values of its own; documents meet in a tree where a
+prefix of that sequence agrees. In an LSH forest the prefix would be shortened on the data. Here
+its length is fixed beforehand, from the threshold, the number of trees and the target probability
+to meet in some tree: that is banding, and a forest that is to reach the same recall for two
+documents at the threshold ends at the same length. All that meet are verified by their exact
+shingle sets, so no link is wrong.
 
 Documents with equal shingle sets are one class and compared once. Classes that meet, directly
 or by others, form a candidate component. A component of bounded weight is verified in one task.
@@ -25,6 +27,7 @@ from pyspark.sql import functions as F
 from ..sources.staging import StagingArea
 from .common import column, encoded, flush_sorted, fresh
 from .components import components
+from .marks import mark, may_have
 from .shingles import set_digest, shingle_set, tree_labels
 
 THRESHOLD = 0.8
@@ -36,7 +39,7 @@ FEW = 16
 
 
 def matching_depth(threshold: float, trees: int, longest: int, recall: float) -> int:
-    """Shorten the matched prefixes until the chance to meet at the threshold reaches the recall."""
+    """The longest prefix with which the chance to meet at the threshold reaches the recall."""
     for depth in range(longest, 0, -1):
         if 1 - (1 - threshold**depth) ** trees >= recall:
             return depth
@@ -252,12 +255,15 @@ def link(
     found = area.stage(components(nodes.select(F.col("cid").alias("u"), "v"), area, "candidates"), "found")
     tasks = _tasks(classes, nodes.drop("v"), found, area, trees, block_shingles, block_classes)
 
-    # The texts of one document per class that is in a task, read and cut once more.
+    # The texts of one document per class that is in a task, read and cut once more. Others are left
+    # out by a bitmap of the ids before anything is shuffled.
     wanted = area.stage(
         classes.join(found.select(F.col("node").alias("cid")), "cid").select("cid", "digest", "rep_id", "copies", "labels"),
         "wanted",
     )
     texts = docs.select(column(doc_id).cast("bigint").alias("id"), column(text).alias("text"))
+    bitmap = mark(wanted, F.xxhash64("rep_id"))
+    texts = texts.where(may_have(docs.sparkSession, bitmap, F.xxhash64("id")))
     cut = F.arrow_udf(_shingles, "digest binary, shingles binary")(F.col("text"))
     sets = (
         texts.join(wanted, F.col("id").eqNullSafe(F.col("rep_id")))

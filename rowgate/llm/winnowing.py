@@ -28,14 +28,11 @@ from pyspark.sql import functions as F
 from ..sources.staging import StagingArea
 from .common import column, give_back
 from .encoding import pieces
+from .marks import mark, marked
 from .shingles import _BYTE, _ONE, _mix, _powers_to, _stream
 
 #: Words of a window, and of the grams in it.
 SPAN, GRAM = 10, 5
-#: The bitmap has 2**BITS bits: 8 MB at any size of the benchmark.
-BITS = 26
-#: Bits that a row of Spark's bitmaps has.
-_ROW_BITS = 1 << 15
 #: Bytes of text whose words are hashed at once.
 _SEGMENT = 1 << 22
 
@@ -113,11 +110,6 @@ def gram_of(span: int) -> int:
     return GRAM if span == SPAN else span
 
 
-def _marked(bitmap: np.ndarray, prints: np.ndarray) -> np.ndarray:
-    bit = (prints >> np.uint64(64 - BITS)).astype(np.int64)
-    return (bitmap[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 > 0
-
-
 def windows(words: np.ndarray, starts: np.ndarray, span: int, keep) -> tuple[np.ndarray, ...]:
     """First word, text, fingerprint and digest of the windows that ``keep`` picks by text and fingerprint."""
     prints = fingerprints(words, span, gram_of(span))
@@ -161,19 +153,6 @@ def item_windows(benchmark: DataFrame, text: str = "text", item_id: str = "item_
     return rows.mapInArrow(_items, f"item string, {WINDOW}").distinct()
 
 
-def mark(table: DataFrame) -> np.ndarray:
-    """The bitmap of the fingerprints of a table of windows, 2**BITS bits."""
-    bit = F.shiftrightunsigned("fingerprint", 64 - BITS) + 1
-    rows = table.groupBy(F.bitmap_bucket_number(bit).alias("row")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits")
-    )
-    bitmap = np.zeros((1 << BITS) // 8, np.uint8)
-    for row in rows.toLocalIterator():  # 2**BITS / _ROW_BITS rows at most
-        first = (row["row"] - 1) * _ROW_BITS // 8
-        bitmap[first : first + _ROW_BITS // 8] = np.frombuffer(row["bits"], np.uint8)
-    return bitmap
-
-
 def _scanned(shared, spans: list[int]):
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = TaskContext.get().partitionId() << 33
@@ -181,7 +160,7 @@ def _scanned(shared, spans: list[int]):
         for batch in batches:
             for ids, texts in _sliced(batch):
                 words, starts = folded_words(texts)
-                found = [(*windows(words, starts, span, lambda p: _marked(bitmap, p)), span) for span in spans]
+                found = [(*windows(words, starts, span, lambda p: marked(bitmap, p)), span) for span in spans]
                 at, text, prints, digests = (np.concatenate([f[i] for f in found] or [np.empty(0, np.int64)]) for i in range(4))
                 span = np.concatenate([np.full(len(f[0]), f[4], np.int32) for f in found] or [np.empty(0, np.int32)])
                 order = np.argsort(text, kind="stable")
@@ -234,7 +213,7 @@ def contamination(
     key = ["span", "fingerprint", "digest"]
     owned = area.stage(item_windows(benchmark, item_text, item_id), "item-windows")
     spans = sorted(row["span"] for row in owned.select("span").distinct().collect())  # ten at most
-    shared = docs.sparkSession.sparkContext.broadcast(mark(owned))
+    shared = docs.sparkSession.sparkContext.broadcast(mark(owned, F.col("fingerprint")))
 
     # Windows of the same items are one set; it is named by what does not depend on order.
     by_window = area.stage(

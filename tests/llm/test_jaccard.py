@@ -91,7 +91,7 @@ def test_one_of_each_class_stays(edge, empty, area):
     assert forest.keep_one(empty, area).count() == 0
 
 
-def test_prefixes_are_shortened_until_the_recall_is_reached():
+def test_the_depth_is_the_longest_that_reaches_the_recall():
     assert forest.matching_depth(0.8, 20, 8, 0.999) == 5
     assert forest.matching_depth(0.8, 20, 8, 0.9) > 5
     with pytest.raises(ValueError):

@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from agreement import connect, difference
 
-from rowgate.llm import winnowing
+from rowgate.llm import marks, winnowing
 from rowgate.llm.queries import ORACLES, QUERIES
 
 from llm_cases import SMALL, edge_rows
@@ -99,9 +99,9 @@ def test_a_passage_of_many_documents_and_items_makes_no_pairs(spark, area):
 def test_bitmap_has_a_fixed_size_and_all_fingerprints(spark, area):
     items = spark.createDataFrame([(i, f"w{i} x{i}") for i in range(500)], "item_id bigint, text string")
     table = winnowing.item_windows(items)
-    bitmap = winnowing.mark(table)
+    bitmap = marks.mark(table, table.fingerprint)
     prints = np.array([r.fingerprint for r in table.collect()], np.int64).view(np.uint64)
-    assert len(bitmap) == 1 << 23 and winnowing._marked(bitmap, prints).all()
+    assert len(bitmap) == 1 << 23 and marks.marked(bitmap, prints).all()
     assert int(np.unpackbits(bitmap).sum()) <= 500
 
 
