@@ -251,12 +251,15 @@ def _parts(found: DataFrame) -> DataFrame:
 def named(docs: DataFrame) -> DataFrame:
     """``key, canonical, kind``: the names that each of the ``key, text`` rows has with a title.
 
-    A word that is a family name and a given name in one text counts as the family name.
+    A word that is a family name and a given name in one text counts as the family name. A given
+    name has one gender in a text: that of a title that tells it, else none.
     """
     pattern = F.lit(PATTERNS["person"])
     found = docs.select("key", F.posexplode(F.regexp_extract_all("text", pattern, F.lit(0))).alias("pos", "entity"))
     names = _parts(found).where("kind like 'family %' or kind like 'given %'")
-    return names.groupBy("key", "canonical").agg(F.min("kind").alias("kind"))
+    # Family names first, then the genders that titles tell.
+    told = F.struct(F.col("kind").startswith("given any").alias("open"), "kind")
+    return names.groupBy("key", "canonical").agg(F.min(told)["kind"].alias("kind"))
 
 
 def own_patterns(names: DataFrame) -> DataFrame:
@@ -270,19 +273,25 @@ def own_patterns(names: DataFrame) -> DataFrame:
 def entities(docs: DataFrame, names: DataFrame) -> DataFrame:
     """``key, pos, part, type, kind, surface, canonical``: the parts of all entities of ``key, text, pattern`` rows.
 
-    Names without a title are of the kind that the same text has with one. Any entity but a
-    person has one part. Parts without a kind stay as they are.
+    Names are of the one kind that they have in the text, with a title and without. Any entity but
+    a person has one part. Parts without a kind stay as they are.
     """
     found = docs.select("key", F.posexplode(F.regexp_extract_all("text", F.col("pattern"), F.lit(0))).alias("pos", "entity"))
     titled = F.col("entity").rlike(f"^(?:{PATTERNS['person']})$")
     bare = (_kind(F.col("entity")) == "person") & ~titled
     known = names.select(F.col("key").alias("owner"), F.col("canonical").alias("name"), F.col("kind").alias("known"))
-    repeats = _parts(found.where(bare)).join(
-        known, F.col("key").eqNullSafe(F.col("owner")) & (F.col("canonical") == F.col("name")), "left"
-    )
-    return _parts(found.where(F.coalesce(~bare, F.lit(True)))).unionByName(
-        repeats.select("key", "pos", "part", "type", F.col("known").alias("kind"), "surface", "canonical")
-    )
+    own = F.col("key").eqNullSafe(F.col("owner")) & (F.col("canonical") == F.col("name"))
+
+    def settled(persons: DataFrame, kind: Column) -> DataFrame:
+        joined = _parts(persons).join(known, own, "left")
+        return joined.select("key", "pos", "part", "type", kind.alias("kind"), "surface", "canonical")
+
+    is_name = F.col("kind").startswith("family ") | F.col("kind").startswith("given ")
+    others = _parts(found.where(F.coalesce(_kind(F.col("entity")) != "person", F.lit(True))))
+    return (
+        others.unionByName(settled(found.where(bare), F.col("known")))
+        .unionByName(settled(found.where(titled), F.when(is_name, F.coalesce("known", "kind")).otherwise(F.col("kind"))))
+    )
 
 
 def other_initials(key: str, surface: Column) -> Column:

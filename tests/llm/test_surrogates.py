@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -157,3 +158,65 @@ def test_check_digit(spark, digits):
 def test_no_python_runs(spark, edge, area):
     plan = pseudonymize(edge, "k", area)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_one_person_has_one_name_whatever_the_title(spark, area):
+    text = "Dr. John Smith wrote. Later Mr John Smith left. John waved to Prof. John Smith."
+    (new,) = replaced(spark, area, text)
+    given, family = re.match(r"Dr\. (\w+) (\w+) wrote", new).groups()
+    assert new == text.replace("John", given).replace("Smith", family)
+    assert given.endswith(("ton", "rik", "mar", "bert"))
+
+
+def test_planted_people_of_many_titles_agree_with_a_list(spark, area):
+    """Every mention of a name in a text becomes the same one, other names others, in all texts."""
+    rng = random.Random(4)
+    men, women = ["John", "Karl", "Pedro", "Igor"], ["Anna", "Maria", "Clara", "Edith"]
+    families = [f"{a}{b}" for a in ("Berg", "Stein", "Wald", "Rosen", "Linden") for b in ("er", "mann", "feld")]
+    texts = []
+    for _ in range(40):
+        own, people = rng.sample(families, 3), rng.sample([(g, "Mr") for g in men] + [(g, "Mrs") for g in women], 3)
+        mentions = []
+        for (given, title), family in zip(people, own):
+            forms = [f"Dr. {given} {family}", f"{title} {given} {family}", f"{title} {family}", f"Prof. {given} {family}"]
+            bare = [given, family, f"{given} {family}"]
+            mentions += [f"Dr. {given} {family}", *rng.sample(forms, 2), *rng.choices(bare, k=3)]
+        first, rest = mentions[::6], [m for i, m in enumerate(mentions) if i % 6]
+        rng.shuffle(rest)
+        texts.append(" then ".join([*first, *rest]))
+    real = {*men, *women, *families}
+    given_of: dict[tuple[str, bool], set[str]] = {}
+    for text, new in zip(texts, replaced(spark, area, *texts)):
+        pairs = {}
+        assert len(text.split()) == len(new.split())
+        for a, b in zip(text.split(), new.split()):
+            assert (a != b) == (a in real) and pairs.setdefault(a, b) == b
+        names = {a: b for a, b in pairs.items() if a in real}
+        assert len(set(names.values())) == len(names) and not set(names.values()) & real
+        for a, b in names.items():
+            if a in families:
+                given_of.setdefault((a, True), set()).add(b)
+            elif f"Mr {a}" in text:
+                assert b.endswith(("ton", "rik", "mar", "bert"))
+            elif f"Mrs {a}" in text:
+                assert b.endswith(("ina", "ela", "ora", "issa"))
+    assert all(len(drawn) == 1 for drawn in given_of.values())
+
+
+def test_persons_beside_columns_of_clashing_names(spark, edge, area):
+    from pyspark.sql import functions as F
+
+    rows = edge.withColumn("text", F.concat(F.lit("Mr John Smith met "), F.coalesce("text", F.lit("no one"))))
+    found = pseudonymize(rows, "k", area)
+    assert found.columns == [*edge.columns, "surrogates"] and found.count() == edge.count()
+    assert found.where(F.col("text").contains("Smith")).isEmpty()
+
+
+def test_a_very_long_text_of_many_names(spark, area):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    names = [f"X{letters[i // 26 // 26 % 26]}{letters[i // 26 % 26]}{letters[i % 26]}son" for i in range(2000)]
+    text = " and ".join(f"Mr {n}" for n in names) + " but " + " or ".join(names)
+    (new,) = replaced(spark, area, text)
+    first, again = new.split(" but ")
+    drawn = first.removeprefix("Mr ").split(" and Mr ")
+    assert again.split(" or ") == drawn and len(set(drawn)) == 2000 and not set(drawn) & set(names)
