@@ -64,3 +64,14 @@ def test_each_stage_agrees_with_a_plain_version(spark, area, small):
 
 def test_run_gives_the_last_stage(spark):
     assert corpus_pipeline.run(spark, SMALL).columns == ["doc_id", "source", "piece", "size", "n_tokens", "bin", "bin_start"]
+
+
+def test_the_chain_takes_nulls_repeats_and_columns_of_clashing_names(spark, edge, empty, area):
+    """Also where a stage leaves nothing; every stage but the last keeps the columns."""
+    for docs, some in ((edge, True), (empty, False), (edge.where("text is null or length(text) < 20"), False)):
+        columns = docs.columns
+        for name, stage in corpus_pipeline.STAGES:
+            docs = area.stage(stage(spark, docs, SMALL), re.sub(r"\W", "", name))
+            if name != corpus_pipeline.STAGES[-1][0]:
+                assert docs.columns == columns
+        assert docs.isEmpty() != some
