@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from ..sources.staging import StagingArea
+from ..sources.staging import file_system as area_file_system
 from .common import column, running_blocks
 from .encoding import encode_batch, encoder
 
@@ -195,14 +196,16 @@ def write_sequences(
     share an id are written one after the other. Other columns are not read. An empty table
     gives an empty manifest.
     """
-    folder = folder or f"{area.path}/sequences"
+    # As Spark's own files are found: a path without a scheme is on the default file system.
+    files, path = area_file_system(docs.sparkSession, folder or f"{area.path}/sequences")
+    folder = files.makeQualified(path).toString()
     ordered = (
         docs.select(column(doc_id).cast("bigint").alias("id"), column(text).alias("text"))
         .repartitionByRange("id")
         .sortWithinPartitions("id")
     )
-    files = ordered.mapInArrow(_write(folder, tokenizer, end_id, length, per_batch), _MANIFEST)
-    manifest = area.stage(files, "manifest")
+    written = ordered.mapInArrow(_write(folder, tokenizer, end_id, length, per_batch), _MANIFEST)
+    manifest = area.stage(written, "manifest")
     before = running_blocks(manifest, "part", "part", {"ids_before": "n_ids", "docs_before": "n_docs"})
     return area.stage(manifest.join(before, "part"), "placed-manifest")
 
@@ -238,8 +241,10 @@ def _read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_documents(manifest: DataFrame) -> DataFrame:
     """Every document as the files have it: place among all ids, length and checksum of its ids.
 
-    One task per pair of files.
+    One task per pair of files: as many ranges of ``part`` as there are, which adaptive execution does
+    not merge.
     """
-    return manifest.repartition("part").mapInArrow(
+    files = max(1, manifest.count())
+    return manifest.repartitionByRange(files, "part").mapInArrow(
         _read, "id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, part int, first_sequence bigint"
     )

@@ -4,11 +4,13 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from rowgate.llm import arrow_sequences, length_histogram
 from rowgate.llm.encoding import encode_batch, encoder
 from rowgate.llm.queries import QUERIES, TOKENIZER
+from rowgate.session import settings
 
 from llm_cases import SMALL, edge_rows
 
@@ -93,6 +95,22 @@ def test_query_reads_back_what_was_written(spark, small, library):
     check_files(rows, small, library)
 
 
+def test_every_pair_of_files_is_read_by_a_task_of_its_own(spark, small, area):
+    docs = spark.createDataFrame([(d, t) for d, t, _ in small], "doc_id bigint, text string").repartition(4)
+    with settings(spark, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):  # several files of little data
+        manifest = arrow_sequences.write_sequences(docs, area, TOKENIZER)
+    read = arrow_sequences.read_documents(manifest).select("part", F.spark_partition_id().alias("task")).distinct().collect()
+    files = manifest.count()
+    assert files > 2 and len(read) == len({r.part for r in read}) == len({r.task for r in read}) == files
+
+
+def test_a_folder_without_a_scheme_is_where_spark_looks(spark, edge, area, tmp_path):
+    manifest = arrow_sequences.write_sequences(edge, area, TOKENIZER, folder=f"{tmp_path}/ids")
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS").split(":")[0]
+    assert all(r.ids_path.startswith(f"{default}:") for r in manifest.collect())
+    assert spark.read.format("binaryFile").load(f"{tmp_path}/ids").count() == 2 * manifest.count()
+
+
 def test_random_access_without_copying(edge, area, library):
     manifest = arrow_sequences.write_sequences(edge, area, TOKENIZER, length=16, per_batch=4)
     for line in manifest.collect():
