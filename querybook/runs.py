@@ -26,8 +26,8 @@ CHART = Axis("encounters", "total_charge_usd", 0.0, 500000.0)
 class Run:
     """One run over CSV files that Spark derives from the test tables."""
 
-    def __init__(self, t, as_of: date = AS_OF):
-        self.spark, self.as_of = t.spark, as_of
+    def __init__(self, t, as_of: date = AS_OF, buckets: int | None = None):
+        self.spark, self.as_of, self.buckets = t.spark, as_of, buckets
         self.out = StagingArea(t.spark).path
         every = healthcare(as_of, FIRST_BY)
         self.contracts = {name: every[name] for name in NAMES}
@@ -44,7 +44,8 @@ class Run:
 
     def clean(self):
         return clean_stage(
-            self.spark, self.contracts, self.sources, f"{self.out}/cleaned", f"{self.out}/quarantine", RUN, self.as_of
+            self.spark, self.contracts, self.sources, f"{self.out}/cleaned", f"{self.out}/quarantine", RUN, self.as_of,
+            self.buckets,
         )
 
     def check(self) -> DataFrame:
@@ -84,6 +85,17 @@ def run_end_to_end(t):
     return read_parquet(t.spark, f"{run.out}/gold")
 
 
+@query(_GOLD_SQL)
+def run_bucketed(t):
+    """The same run over clean tables that are bucketed by their keys."""
+    run = Run(t, LATE, buckets=8)
+    run.clean()
+    run.check()
+    run.judge()
+    run.publish()
+    return read_parquet(t.spark, f"{run.out}/gold")
+
+
 @query(
     f"""{_LATE_SQL}
         SELECT 'judged' AS step, count(*) AS published FROM encounters WHERE rejection_reason IS NULL

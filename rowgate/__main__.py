@@ -30,6 +30,7 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("--run-id", required=True, help="the same for all stages of one run")
     parser.add_argument("--as-of", type=date.fromisoformat, help="today, for ages and future dates (default: "
                         "the clean stage takes the current day, the others that of the clean stage)")
+    parser.add_argument("--buckets", type=int, help="deal clean tables into so many buckets by their keys (clean)")
     args = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName(f"rowgate-{args.stage}").getOrCreate()
@@ -42,7 +43,7 @@ def main(arguments: list[str] | None = None) -> int:
     if args.stage == "clean":
         sources = {name: f"{args.source}/{file}" for name, file in preset.SOURCE_FILES.items()}
         for line in clean_stage(
-            spark, contracts, sources, cleaned, f"{args.out}/quarantine", args.run_id, as_of
+            spark, contracts, sources, cleaned, f"{args.out}/quarantine", args.run_id, as_of, args.buckets
         ):
             print(line)
     elif args.stage == "check":

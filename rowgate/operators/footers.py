@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -22,9 +23,16 @@ _PUSHED = {"spark.sql.parquet.aggregatePushdown": "true"}
 
 
 def has_statistics(df: DataFrame) -> bool:
-    """Whether this is a whole Parquet table, as ``spark.read.parquet`` gives it."""
-    relation = df._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation"
-    return relation and "row_index" in _hidden_fields(df)
+    """Whether this is a whole Parquet table, as ``spark.read.parquet`` or ``read_bucketed`` gives it."""
+    plan = _relation(df)
+    return plan.getClass().getSimpleName() == "LogicalRelation" and "row_index" in _hidden_fields(plan)
+
+
+def _relation(df: DataFrame):
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.getClass().getSimpleName() == "SubqueryAlias":
+        plan = plan.child()
+    return plan
 
 
 def pushed_ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame | None:
@@ -38,7 +46,7 @@ def pushed_ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame | None:
     names = [own_name(df, c) for c in columns]
     if not names or not all(isinstance(df.schema[n].dataType, _NUMBERS) for n in names):
         return None
-    files = df.inputFiles()
+    files = [unquote(f) for f in df.inputFiles()]  # they are URIs
     if not files:
         return None
     session = df.sparkSession.newSession()
@@ -53,8 +61,8 @@ def pushed_ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame | None:
     return ranges
 
 
-def _hidden_fields(df: DataFrame) -> list[str]:
-    hidden = df._jdf.queryExecution().analyzed().metadataOutput()
+def _hidden_fields(plan) -> list[str]:
+    hidden = plan.metadataOutput()
     return [
         name for i in range(hidden.size()) if hidden.apply(i).name() == "_metadata"
         for name in hidden.apply(i).dataType().fieldNames()

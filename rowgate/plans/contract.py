@@ -90,6 +90,11 @@ class TableContract:
     def parents(self) -> list[str]:
         return [rule.table for rule in self.rules if isinstance(rule, References)]
 
+    @property
+    def has_unique_key(self) -> bool:
+        """Whether the rules leave one row of each key."""
+        return any(isinstance(rule, Unique) and rule.keys == (self.key,) for rule in self.rules)
+
     @property
     def suite(self) -> Suite:
         return Suite(self.name, self.key, self.checks)

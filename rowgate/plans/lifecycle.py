@@ -18,18 +18,20 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.names import own_name
 from ..operators.checks import failures_by_table, fk_violations, row_counts, run_checks
 from ..operators.enrich import Dimension, enrich
 from ..operators.histogram import Axis, histograms
 from ..operators.split import accounting, clean_rows
 from ..operators.verdict import verdicts
 from ..session import SETTINGS, settings, spread
+from ..sources.buckets import largest_share, read_bucketed, write_bucketed
 from ..sources.files import read_csv, read_parquet, write_split
 from ..sources.ledger import record_run
 from ..sources.reports import read_report, read_verdict, write_report, write_verdict
 from ..sources.runs import aside
-from ..sources.staging import StagingArea
-from ..sources.versions import new_version, read_clean, read_manifest
+from ..sources.staging import StagingArea, file_system
+from ..sources.versions import new_version, read_clean, read_manifest, read_unbucketed
 from .contract import TableContract, in_parent_order, tag_table
 
 
@@ -96,10 +98,18 @@ class Account:
     by_reason: Mapping[str, int] = field(default_factory=dict)
 
 
+#: A key of so many times a bucket's even share of the rows is hot.
+HOT = 2
+
 # One open file per reason and task instead of a sort of whole rows by reason.
 WRITERS = {"spark.sql.maxConcurrentOutputFileWriters": "64"}
 
 
+def _dealt(buckets: int | None) -> dict[str, str]:
+    """Shuffles deal rows as bucketed tables have them, so the tables stay where they are."""
+    return {"spark.sql.shuffle.partitions": str(buckets)} if buckets else {}
+
+
 def clean_stage(
     spark: SparkSession,
     contracts: Mapping[str, TableContract],
@@ -108,6 +118,7 @@ def clean_stage(
     quarantine_dir: str,
     run_id: str | None = None,
     as_of: date | None = None,
+    buckets: int | None = None,
     **csv_options,
 ) -> list[Account]:
     """Read the raw files, write clean and quarantined rows per table, return the accounting.
@@ -119,10 +130,15 @@ def clean_stage(
     with a manifest that names the run, its ``as_of`` and the counts; older versions stay
     until ``expire`` deletes them. Raises, and leaves the version before, if rows do not add
     up, have a reason that the contract does not know, or cannot be written.
+
+    With ``buckets``, clean tables whose contract makes the key unique are dealt into so many
+    files by it, by one more shuffle of their rows. Then neither foreign keys that refer to them, nor checks
+    for repeated keys, nor the joins of the publish stage shuffle them again.
     """
     lines: dict[str, Account] = {}
+    bucketed: dict[str, dict] = {}
     with (
-        settings(spark, SETTINGS | WRITERS), StagingArea(spark) as area,
+        settings(spark, SETTINGS | WRITERS | _dealt(buckets)), StagingArea(spark) as area,
         new_version(spark, cleaned_dir, quarantine_dir) as version,
     ):
         cleaned_new, quarantine_new = version.paths
@@ -132,20 +148,29 @@ def clean_stage(
             raw = spread(read_csv(spark, sources[name], malformed="mark", positions=True, **csv_options))
             raw = raw.observe(seen, F.count(F.lit(1)).alias("rows"))
             tagged = tag_table(raw, contract, parents, part)
-            counts = write_split(
-                tagged, f"{cleaned_new}/{name}", f"{quarantine_new}/{name}", contract.reasons
-            )
+            path, deal = f"{cleaned_new}/{name}", buckets and contract.has_unique_key
+            first = f"{cleaned_new}/{name}-undealt" if deal else path
+            counts = write_split(tagged, first, f"{quarantine_new}/{name}", contract.reasons)
             line = Account(name, seen.get["rows"], counts.accepted, counts.rejected, counts.by_reason)
             if line.rows_in != counts.rows:
                 raise RuntimeError(f"rows do not add up: {line}")
             lines[name] = line
-            return read_parquet(spark, f"{cleaned_new}/{name}")
+            if not deal:
+                return read_parquet(spark, path)
+            rows = read_parquet(spark, first)
+            key = own_name(rows, contract.key)
+            write_bucketed(rows, path, key, buckets)
+            fs, folder = file_system(spark, first)
+            fs.delete(folder, True)
+            bucketed[name] = {"key": key, "schema": rows.schema.jsonValue()}
+            return read_bucketed(spark, path, rows.schema, key, buckets)
 
         in_waves(spark, contracts, clean, lambda df: df)
         version.commit(
             {
                 "run_id": run_id, "as_of": as_of and as_of.isoformat(),
                 "tables": [asdict(lines[name]) for name in contracts],
+                **({"buckets": buckets, "bucketed": bucketed} if bucketed else {}),
             }
         )
     return [lines[name] for name in contracts]
@@ -181,7 +206,7 @@ def check_stage(
     ``axes``, ``histograms``.
     """
     manifest = _manifest(spark, cleaned_dir, run_id)
-    with settings(spark), StagingArea(spark) as area:
+    with settings(spark, SETTINGS | _dealt(manifest.get("buckets"))), StagingArea(spark) as area:
         tables = {name: read_clean(spark, cleaned_dir, name, manifest.get("version")) for name in contracts}
         suites = [c.suite for c in contracts.values()]
         results = area.stage(run_checks(tables, suites, run_id, area=area), "results")
@@ -280,14 +305,23 @@ def publish_stage(
     """Join the clean fact with its dimensions and publish it if the verdict is about these rows.
 
     ``versioned`` keeps the published tables of earlier runs, as ``publish_if`` says.
+
+    A bucketed dimension is joined where it lies, unless one of its keys, or NULL, has more than a bucket's
+    share of the fact's rows: those rows would meet in one task. Then the dimension is shuffled
+    with the fact, and adaptive execution splits the key.
     """
-    version = read_manifest(spark, cleaned_dir).get("version")
-    names = [fact, *(d.table for d in dimensions)]
-    tables = {name: read_clean(spark, cleaned_dir, name, version) for name in names}
+    manifest = read_manifest(spark, cleaned_dir)
+    version, buckets, bucketed = (manifest.get(k) for k in ("version", "buckets", "bucketed"))
+    tables = {name: read_clean(spark, cleaned_dir, name, version) for name in [fact, *(d.table for d in dimensions)]}
+    for d in dimensions:
+        in_place = bucketed and d.table in bucketed and bucketed[d.table]["key"].lower() == d.key.lower()
+        if not in_place or largest_share(tables[fact], d.key) * buckets > HOT:
+            tables[d.table] = read_unbucketed(spark, cleaned_dir, d.table, version)
     gold = enrich(tables[fact], tables, dimensions)
 
     def unchanged() -> bool:
         return read_manifest(spark, cleaned_dir).get("version") == version
 
     verdict = read_verdict(spark, verdict_path)
-    return publish_if(verdict, run_id, tables[fact], gold, gold_path, version, unchanged, versioned)
+    with settings(spark, _dealt(buckets)):
+        return publish_if(verdict, run_id, tables[fact], gold, gold_path, version, unchanged, versioned)

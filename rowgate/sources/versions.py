@@ -16,7 +16,9 @@ from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
+from .buckets import read_bucketed
 from .files import read_parquet, read_quarantine
 from .runs import read_json, write_json
 from .staging import file_system
@@ -89,8 +91,19 @@ def read_manifest(spark: SparkSession, cleaned_dir: str, version: str | None = N
 def read_clean(spark: SparkSession, cleaned_dir: str, table: str, version: str | None = None) -> DataFrame:
     """A clean table of the current version, or of the one with this id.
 
-    Where a folder has no versions, its tables are taken as they lie in it.
+    If the clean stage bucketed the table, plans know. Where a folder has no versions, its tables are taken
+    as they lie in it.
     """
+    manifest = read_manifest(spark, cleaned_dir, version)
+    path = "/".join(filter(None, (cleaned_dir.rstrip("/"), manifest.get("version"), table)))
+    dealt = manifest.get("bucketed", {}).get(table)
+    if dealt is None:
+        return read_parquet(spark, path)
+    return read_bucketed(spark, path, StructType.fromJson(dealt["schema"]), dealt["key"], manifest["buckets"])
+
+
+def read_unbucketed(spark: SparkSession, cleaned_dir: str, table: str, version: str | None = None) -> DataFrame:
+    """The rows of ``read_clean`` whose scan may be split anywhere, also where the table is bucketed."""
     version = version or read_manifest(spark, cleaned_dir).get("version")
     return read_parquet(spark, "/".join(filter(None, (cleaned_dir.rstrip("/"), version, table))))
 
