@@ -120,11 +120,16 @@ def solve(cells: DataFrame, wanted: DataFrame, area: StagingArea, cap: float = C
     return state.select("source", "source_size", "target", "mean_size", "multiplier")
 
 
-def _draw(cap: float, doc_id: Column, size: Column) -> tuple[Column, Column]:
+def mark_of(doc_id: Column, text: Column) -> Column:
+    """What tells documents apart when they are rounded: rows of one id, or without any, by their texts."""
+    return F.xxhash64(doc_id, text)
+
+
+def _draw(cap: float, mark: Column, size: Column) -> tuple[Column, Column]:
     """Whole copies of a document, and the key by which it gets one more: small keys first."""
     rate = _rate(size, cap)
     whole = F.when(size > 0, F.floor(rate)).otherwise(0).cast("bigint")
-    uniform = F.shiftrightunsigned(F.xxhash64(doc_id, size), 11) / F.lit(float(1 << 53))
+    uniform = F.shiftrightunsigned(mark, 11) / F.lit(float(1 << 53))
     key = F.floor((uniform - (rate - whole) + 1) * F.lit(float(1 << (KEY_BITS - 1)))).cast("bigint")
     return whole, F.when((size > 0) & (rate < cap), key).otherwise(F.lit(1 << KEY_BITS))
 
@@ -142,7 +147,7 @@ def round_off(ledger: DataFrame, state: DataFrame, area: StagingArea, cap: float
     columns = ["source", "source_size", "target", "mean_size", "multiplier"]
 
     def drawn(current: DataFrame) -> DataFrame:
-        whole, key = _draw(cap, F.col("id"), F.col("size"))
+        whole, key = _draw(cap, F.col("mark"), F.col("size"))
         joined = rows.join(current, F.col("of").eqNullSafe(F.col("source")))
         return joined.withColumn("whole", whole).withColumn("key", key)
 
@@ -188,11 +193,12 @@ def round_off(ledger: DataFrame, state: DataFrame, area: StagingArea, cap: float
 
 def plan(docs: DataFrame, area: StagingArea, text: str = "text", doc_id: str = "doc_id", source: str = "source",
          weights: Sequence[float] = WEIGHTS, share: float = SHARE, cap: float = CAP) -> tuple[DataFrame, DataFrame]:
-    """The ledger ``id, source, size`` of all documents, and the solved row of each source."""
+    """The ledger ``id, source, size, mark`` of all documents, and the solved row of each source."""
+    key = column(doc_id).cast("bigint")
     ledger = area.stage(
         docs.select(
-            column(doc_id).cast("bigint").alias("id"), column(source).cast("string").alias("source"),
-            word_count(column(text)).alias("size"),
+            key.alias("id"), column(source).cast("string").alias("source"), word_count(column(text)).alias("size"),
+            mark_of(key, column(text)).alias("mark"),
         ),
         "sizes",
     )
@@ -202,9 +208,9 @@ def plan(docs: DataFrame, area: StagingArea, text: str = "text", doc_id: str = "
     return ledger, round_off(ledger, state, area, cap)
 
 
-def copies(doc_id: Column, size: Column, cap: float = CAP) -> Column:
+def copies(mark: Column, size: Column, cap: float = CAP) -> Column:
     """How often the mix takes a document, over rows joined with their source's solved row."""
-    whole, key = _draw(cap, doc_id, size)
+    whole, key = _draw(cap, mark, size)
     return whole + F.when((key < F.col("threshold")) | key.eqNullSafe(F.col("extra")), 1).otherwise(0)
 
 
@@ -212,13 +218,13 @@ def taken(docs: DataFrame, area: StagingArea, cap: float = CAP, **names) -> Data
     """One row per document: ``id, source, size, source_size, target, rate, copies, taken``.
 
     A null text has size 0; a document without words is not taken. A null source is one
-    source. Rows that share id, size and source are taken alike, all or none of them, so a target is
-    missed by up to half of such a group. Other columns are not looked at; an
-    empty table gives an empty one.
+    source. Rows that share id, text and source are taken alike, all or none of them, so a target is
+    missed by up to half of such a group; rows of one id, or without any, are told apart by their texts.
+    Other columns are not looked at; an empty table gives an empty one.
     """
     ledger, state = plan(docs, area, cap=cap, **names)
     joined = ledger.withColumnRenamed("source", "of").join(state, F.col("of").eqNullSafe(F.col("source")))
-    n = copies(F.col("id"), F.col("size"), cap)
+    n = copies(F.col("mark"), F.col("size"), cap)
     return joined.select(
         "id", "source", "size", "source_size", "target",
         F.when(F.col("size") > 0, _rate(F.col("size"), cap)).otherwise(0.0).alias("rate"),
@@ -229,15 +235,16 @@ def taken(docs: DataFrame, area: StagingArea, cap: float = CAP, **names) -> Data
 def mix(docs: DataFrame, area: StagingArea, text: str = "text", doc_id: str = "doc_id", source: str = "source", cap: float = CAP) -> DataFrame:
     """The documents as the mix takes them: each row as often as it has copies, all its columns kept.
 
-    A row's copies follow from its id, size and source's row, so the texts are not joined with
+    A row's copies follow from its id, text and source's row, so the texts are not joined with
     the ledger.
     """
     _, state = plan(docs, area, text, doc_id, source, cap=cap)
     rows = docs.select(F.struct(*map(column, docs.columns)).alias("row"))
+    body = F.col("row").getField(text)
     sized = rows.select(
-        "row", F.col("row").getField(source).cast("string").alias("of"),
-        F.col("row").getField(doc_id).cast("bigint").alias("id"), word_count(F.col("row").getField(text)).alias("size"),
+        "row", F.col("row").getField(source).cast("string").alias("of"), word_count(body).alias("size"),
+        mark_of(F.col("row").getField(doc_id).cast("bigint"), body).alias("mark"),
     )
     joined = sized.join(state, F.col("of").eqNullSafe(F.col("source")))
-    n = copies(F.col("id"), F.col("size"), cap)
+    n = copies(F.col("mark"), F.col("size"), cap)
     return joined.select("row", F.explode(F.array_repeat(F.lit(1), n.cast("int")))).select("row.*")

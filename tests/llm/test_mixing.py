@@ -81,3 +81,14 @@ def test_the_mix_repeats_whole_rows(edge, empty, area):
     assert sum(found.values()) == sum(r.copies for r in ledger)
     assert max(found.values()) <= 4  # two rows are equal
     assert mixing.mix(empty, area).count() == 0
+
+
+def test_rows_without_ids_are_told_apart_by_their_texts(spark, area):
+    rows = [(i, f"{i} b c d e f g", "a") for i in range(300)] + [(None, f"{i} b c d e f g", "b") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    taken = mixing.taken(docs, area).collect()
+    check(taken, rows, 0.0)
+    without = [r.taken for r in taken if r.source == "b"]
+    assert set(without) == {7, 14} and sum(without) == 7 * 750  # neither all nor none get one more
+    mixed = Counter(r.source for r in mixing.mix(docs, area).collect())
+    assert mixed["b"] * 7 == sum(without)
