@@ -118,14 +118,17 @@ def pack_documents(docs: DataFrame, area: StagingArea, tokenizer: str, capacity:
 
     No bin holds more than ``capacity`` ids, two pieces of one source, or two of one cluster.
     A null text has the end id alone. A null source is one source. Rows that repeat each other
-    are equal texts, so they lie in different bins. Other columns are not looked at; an empty
+    are equal texts, so they lie in different bins; they are dealt over the blocks as all others are. Other columns are not looked at; an empty
     table gives an empty one.
     """
-    cut = area.stage(pieces(docs, tokenizer, capacity, **names), "pieces")
+    placed = pieces(docs, tokenizer, capacity, **names).withColumn("place", F.monotonically_increasing_id())
+    cut = area.stage(placed, "pieces")
     blocks = max(1, -(-cut.count() // PER_BLOCK))
-    block = F.pmod(F.xxhash64("id", "piece", "source", "cluster"), F.lit(blocks))
+    # The place, as it was written, deals out rows that are equal in all else.
+    block = F.pmod(F.xxhash64("id", "piece", "source", "cluster", "place"), F.lit(blocks))
     return (
         cut.withColumn("block", block)
+        .drop("place")
         .groupBy("block")
         .applyInArrow(
             _pack_block(capacity),

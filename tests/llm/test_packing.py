@@ -87,3 +87,15 @@ def test_more_blocks_hold_the_same_rules(spark, small, area, monkeypatch):
     monkeypatch.setattr(packing, "PER_BLOCK", 30)
     docs = spark.createDataFrame(small, "doc_id bigint, text string, source string")
     check(packing.pack_documents(docs, area, TOKENIZER).collect(), small, 2048)
+
+
+def test_repeated_rows_are_dealt_over_the_blocks(spark, area, monkeypatch):
+    from rowgate.llm.queries import TOKENIZER
+
+    monkeypatch.setattr(packing, "PER_BLOCK", 30)
+    docs = spark.createDataFrame([(None, "the same words", "a")] * 300, "doc_id bigint, text string, source string")
+    rows = packing.pack_documents(docs, area, TOKENIZER, 64).collect()
+    sizes = defaultdict(int)
+    for r in rows:
+        sizes[r.bin >> 32] += 1
+    assert len(rows) == len({r.bin for r in rows}) == 300 and len(sizes) == 10 and max(sizes.values()) < 60
