@@ -149,7 +149,7 @@ def assign(docs: DataFrame, shards: int, area: StagingArea, text: str = "text",
     their names, are not looked at; an empty table gives an empty one.
 
     A group larger than a shard's share fills a shard of its own: it cannot be split. Its
-    rows are spread over tasks all the same.
+    rows are spread over tasks all the same, also where they share one id or have none.
     """
     text_or_empty = F.coalesce(column(text), F.lit(""))
     rows = area.stage(
@@ -158,6 +158,7 @@ def assign(docs: DataFrame, shards: int, area: StagingArea, text: str = "text",
             F.unhex(F.sha2(text_or_empty, 256)).alias("digest"),
             (F.octet_length(text_or_empty) + 1).cast("bigint").alias("size"),
             F.crc32(text_or_empty.cast("binary")).alias("text_crc32"),
+            F.monotonically_increasing_id().alias("place"),
         ),
         "rows",
     )
@@ -165,8 +166,9 @@ def assign(docs: DataFrame, shards: int, area: StagingArea, text: str = "text",
     placed = area.stage(split_groups(groups, shards, area).drop("bytes"), "placed")
     numbered = area.stage(
         rows.join(placed, "digest")
-        .repartitionByRange("id", "digest")
-        .sortWithinPartitions("id", "digest")
+        .repartitionByRange("id", "digest", "place")
+        .sortWithinPartitions("id", "digest", "place")
+        .drop("place")
         .mapInArrow(
             _numbered, "digest binary, id bigint, size bigint, text_crc32 bigint, shard int, task int, local bigint"
         ),

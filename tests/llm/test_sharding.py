@@ -81,3 +81,15 @@ def test_written_shards_hold_their_texts(spark, edge, area):
     back = spark.read.parquet(f"{area.path}/shards")
     assert back.count() == edge.count()
     assert back.groupBy("shard").count().count() <= 3
+
+
+def test_repeated_rows_are_spread_over_tasks(spark, area):
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    rows = [(None, "same", "a")] * 4000
+    spark.conf.set(name, "false")
+    try:
+        check(sharding.assign(spark.createDataFrame(rows, "doc_id bigint, text string, source string"), 3, area).collect(), rows)
+    finally:
+        spark.conf.unset(name)
+    per_task = [r["count"] for r in area.tables["numbered"].groupBy("task").count().collect()]
+    assert len(per_task) > 4 and max(per_task) < 1500
