@@ -11,8 +11,10 @@ from rowgate.operators.duplicates import tag_duplicates
 from rowgate.operators.enrich import Dimension, enrich
 from rowgate.operators.outliers import tag_outliers
 from rowgate.operators.references import orphan_keys, tag_orphans
-from rowgate.plans.lifecycle import WRITERS
-from rowgate.session import settings, spread
+from rowgate.operators.rules import Required, Within
+from rowgate.plans.contract import NotOutlying, References, TableContract, Unique, tag_table
+from rowgate.plans.lifecycle import WRITERS, tag_tables
+from rowgate.session import SETTINGS, settings, spread
 from rowgate.sources import StagingArea, read_quarantine, write_split
 
 
@@ -80,6 +82,68 @@ def test_rows_are_not_shuffled_while_the_key_lists_are_small(spark, hot):
     assert "Exchange" not in plan(tag_outliers(hot, "v"))
 
 
+#: Every rule that needs the whole table, with rules for single rows before, between and after them.
+WIDE = TableContract(
+    "rows", "key",
+    rules=[
+        Required("no key", "key"), Unique(("key",), ("k",)), Within("high", {"v": (0.0, 990.0)}),
+        NotOutlying(("v",), 1.5), References("key", "parents"), Within("low", {"v": (10.0, 1e9)}),
+    ],
+)
+
+
+def _parents(hot):
+    return hot.where("k % 7 < 2 and key is not null").select("key").distinct()
+
+
+def test_wide_rows_stay_where_they_were_written(spark, hot, change):
+    change(autoBroadcastJoinThreshold="-1")
+    area = StagingArea(spark)
+    with settings(spark, SETTINGS):
+        tagged = tag_table(hot, WIDE, {"parents": _parents(hot)}, area)
+        shuffles = plan(tagged).split("Exchange hashpartitioning(")[1:]
+        assert len(shuffles) == 1 and "payload" not in plan(tagged).partition("Exchange ")[2]
+        assert "Sort " not in plan(tagged)
+    written = [name for name, df in area.tables.items() if "payload" in df.columns]
+    assert written == []  # but for the rows themselves, which the plan reads
+
+
+def test_tables_of_row_rules_are_written_once_all_others_with_their_rows(spark, hot):
+    area = StagingArea(spark)
+    plain = TableContract("plain", "key", rules=[Required("no key", "key")])
+    tag_tables({"rows": hot, "parents": _parents(hot), "plain": hot},
+               {"rows": WIDE, "parents": TableContract("parents", "key"), "plain": plain}, area)
+    assert {"plain-tagged", "parents-tagged", "reasons"} <= area.tables.keys() and "rows-tagged" not in area.tables
+
+
+@pytest.mark.parametrize("limit", ["-1", "10MB"])
+@pytest.mark.parametrize("tuned", [False, True])
+def test_staged_reasons_are_those_of_the_rules_in_order(spark, hot, change, limit, tuned):
+    """Odd names, null and hot keys: the reasons are those that the rules give one after another."""
+    change(autoBroadcastJoinThreshold=limit)
+    odd = hot.withColumn("a, b.`c", F.upper("payload"))
+    with settings(spark, SETTINGS if tuned else {}):
+        tagged = tag_table(odd, WIDE, {"parents": _parents(hot)})
+        assert tagged.columns == ["k", "key", "v", "payload", "a, b.`c", "_position", "rejection_reason"]
+        found = {r["k"]: (r["rejection_reason"], r["payload"], r[4]) for r in tagged.collect()}
+        rows, known = hot.collect(), {r["key"] for r in _parents(hot).collect()}
+    assert len(found) == len(rows) == 300000
+    reasons, first = {}, set()
+    for r in sorted(rows, key=lambda r: r["k"]):
+        reasons[r["k"]] = "no key" if r["key"] is None else "duplicate primary key" if r["key"] in first else "high" if r["v"] > 990 else None
+        first.add(r["key"])
+    left = [r for r in rows if reasons[r["k"]] is None]
+    mean = sum(r["v"] for r in left) / len(left)
+    sd = (sum((r["v"] - mean) ** 2 for r in left) / (len(left) - 1)) ** 0.5
+    for r in left:
+        reasons[r["k"]] = (
+            "zscore_outlier_v" if abs(r["v"] - mean) > 1.5 * sd
+            else "fk_key not in parents" if r["key"] not in known else "low" if r["v"] < 10 else None
+        )
+    assert all(found[r["k"]] == (reasons[r["k"]], r["payload"], r["payload"].upper()) for r in rows)
+    assert set(reasons.values()) >= {"no key", "duplicate primary key", "high", "zscore_outlier_v", "fk_key not in parents", None}
+
+
 def test_keys_are_combined_before_the_shuffle(spark, hot, change):
     change(autoBroadcastJoinThreshold="-1")
     for text in (
