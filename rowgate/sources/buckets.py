@@ -48,21 +48,27 @@ def write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> None:
         writer.bucketBy(buckets, key).sortBy(key).saveAsTable(name)
 
 
+def _enter(spark: SparkSession, name: str, path: str, schema: StructType, dealt: str) -> None:
+    place = _absolute(spark, path).replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {name} ({schema.toDDL()}) USING parquet {dealt} LOCATION '{place}'")
+
+
 def write_as_dealt(df: DataFrame, path: str, column: str, buckets: int) -> None:
-    """Write the table to a new path without a shuffle, bucketed by a column that has one value per task."""
-    with _entered(df.sparkSession) as name:
-        writer = df.write.format("parquet").option("path", _absolute(df.sparkSession, path))
-        writer.bucketBy(buckets, column).saveAsTable(name)
+    """Write the table to a new path without a shuffle, bucketed by a column that has one value per task.
+
+    The table is entered first and filled then: ``saveAsTable`` runs the query out of sight of observations.
+    """
+    spark = df.sparkSession
+    with _entered(spark) as name:
+        _enter(spark, name, path, df.schema, f"CLUSTERED BY ({_quoted(column)}) INTO {buckets} BUCKETS")
+        df.write.insertInto(name)
 
 
 def read_bucketed(spark: SparkSession, path: str, schema: StructType, key: str, buckets: int) -> DataFrame:
     """A table that ``write_bucketed`` wrote; plans know how its rows are dealt."""
-    place = _absolute(spark, path).replace("\\", "\\\\").replace("'", "\\'")
     with _entered(spark) as name:
-        spark.sql(
-            f"CREATE TABLE {name} ({schema.toDDL()}) USING parquet "
-            f"CLUSTERED BY ({_quoted(key)}) SORTED BY ({_quoted(key)}) INTO {buckets} BUCKETS LOCATION '{place}'"
-        )
+        dealt = f"CLUSTERED BY ({_quoted(key)}) SORTED BY ({_quoted(key)}) INTO {buckets} BUCKETS"
+        _enter(spark, name, path, schema, dealt)
         return spark.table(name)
 
 
