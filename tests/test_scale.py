@@ -7,11 +7,12 @@ from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from rowgate.operators.checks import HasParent, NotNull, Suite, UniqueKey, _count_table
-from rowgate.operators.duplicates import tag_duplicates
+from rowgate.operators.decisions import PART, ROW, stage_rows
+from rowgate.operators.duplicates import later_copies, tag_duplicates
 from rowgate.operators.enrich import Dimension, enrich
 from rowgate.operators.outliers import tag_outliers
-from rowgate.operators.references import orphan_keys, tag_orphans
-from rowgate.operators.rules import Required, Within
+from rowgate.operators.references import orphan_keys, orphan_rows, tag_orphans
+from rowgate.operators.rules import Required, Within, untagged
 from rowgate.plans.contract import NotOutlying, References, TableContract, Unique, tag_table
 from rowgate.plans.lifecycle import WRITERS, tag_tables
 from rowgate.session import SETTINGS, settings, spread
@@ -227,3 +228,30 @@ def test_partitioning_does_not_change_the_outcome(spark, hot, change):
         tagged = tag_outliers(tag_duplicates(hot, "key", ["v", "k"]), ["v"], threshold=1.5)
         outcomes.append(sorted(map(tuple, tagged.groupBy("rejection_reason").count().collect()), key=str))
     assert outcomes[0] == outcomes[1]
+
+
+def test_staged_rows_fill_their_buckets_evenly(spark):
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    with settings(spark, SETTINGS):
+        rows = stage_rows(untagged(spark.range(0, buckets << 16, 1, 4)), "rows", StagingArea(spark))
+        sizes = rows.groupBy(F.pmod(F.hash(PART), F.lit(buckets)).alias("bucket")).count().collect()
+    assert len(sizes) == min(buckets, 32) and max(r["count"] for r in sizes) <= 2 * min(r["count"] for r in sizes)
+    assert rows.select(ROW).distinct().count() == buckets << 16
+
+
+def test_parts_of_staged_rows_combine_their_keys_before_one_shuffle(spark, hot, change):
+    """Neither copies nor orphans shuffle rows by their key: not in the plan, and not of a hot key."""
+    change(autoBroadcastJoinThreshold="-1", adaptive__enabled="false")
+    area, parents = StagingArea(spark), _parents(hot).where("key <> 'hot'")
+    raw = untagged(hot).withColumn("_position", F.struct(F.col("k").alias("row")))
+    with settings(spark, SETTINGS):
+        rows = stage_rows(raw, "rows", area)
+        copies = later_copies(rows, ["key"], ["v"])
+        assert plan(copies).count("Exchange hashpartitioning(") == 1
+        lost = orphan_rows(rows, "key", parents, area=area)
+        shuffled = plan(lost).split("Exchange hashpartitioning(")
+        assert len(shuffled) == 2 and "payload" not in plan(lost) and ROW not in shuffled[1].split("FileScan")[0]
+        found = [{r["k"] for r in rows.join(df, [PART, ROW]).select("k").collect()} for df in (copies, lost)]
+    tagged = [tag_duplicates(raw, "key", ["v"]), tag_orphans(raw, "key", parents, "orphan")]
+    assert found == [{r["k"] for r in df.where("rejection_reason is not null").collect()} for df in tagged]
+    assert area.tables["orphan-keys"].where("_orphan = 'hot'").count() == rows.select(PART).distinct().count()
