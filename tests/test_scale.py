@@ -1,6 +1,7 @@
 """Plans that hold for large tables: what is read, shuffled, split and broadcast."""
 
 import os
+import time
 
 import pytest
 from pyspark.sql import DataFrameWriter
@@ -16,7 +17,7 @@ from rowgate.operators.rules import Required, Within, untagged
 from rowgate.plans.contract import NotOutlying, References, TableContract, Unique, tag_table
 from rowgate.plans.lifecycle import WRITERS, tag_tables
 from rowgate.session import SETTINGS, settings, spread
-from rowgate.sources import StagingArea, read_quarantine, write_split
+from rowgate.sources import StagingArea, read_quarantine, staging, write_split
 
 
 def plan(df) -> str:
@@ -255,3 +256,22 @@ def test_parts_of_staged_rows_combine_their_keys_before_one_shuffle(spark, hot,
     tagged = [tag_duplicates(raw, "key", ["v"]), tag_orphans(raw, "key", parents, "orphan")]
     assert found == [{r["k"] for r in df.where("rejection_reason is not null").collect()} for df in tagged]
     assert area.tables["orphan-keys"].where("_orphan = 'hot'").count() == rows.select(PART).distinct().count()
+
+
+def test_shuffle_files_of_staged_tables_are_deleted(spark, hot, monkeypatch):
+    """By the next tables; else the disks hold those of all steps, as the driver rarely collects its garbage."""
+    monkeypatch.setattr(staging, "RELEASE_EVERY", 0.0)
+    folders = [str(f) for f in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def shuffled() -> set[str]:
+        return {name for top in folders for _, _, names in os.walk(top) for name in names if name.endswith(".data")}
+
+    before = shuffled()
+    area = StagingArea(spark)
+    area.stage(hot.groupBy("key", "payload").agg(F.min("v").alias("v")), "counts")
+    for _ in range(10):
+        time.sleep(1)
+        area.stage(spark.range(1), "next")
+        if not shuffled() - before:
+            break
+    assert not shuffled() - before
