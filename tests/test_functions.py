@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rowgate import fixed_values as fixed
 from rowgate import functions as fn
+from rowgate.functions import dates
 
 
 def apply(spark, rule, values, kind="string"):
@@ -70,6 +71,35 @@ def test_one_timestamp_pattern_means_the_same_as_every_layout_in_turn(spark):
     assert differing == []
 
 
+def test_usual_dates_need_no_pattern(spark, monkeypatch):
+    """A pattern costs far more than all else that is done to a date."""
+    monkeypatch.setattr(dates, "DATE_PATTERN", "'none'")
+    monkeypatch.setattr(dates, "TIMESTAMP_PATTERN", "'none'")
+    day = date(2024, 2, 9)
+    for rule, found in ((fn.parse_date, day), (fn.date_text, "2024-02-09")):
+        texts = ["2024-02-09", "2024/02/09", "2/9/2024", "02/09/2024", "2/9/24", "9-2-2024", "09-02-2024",
+                 "February 9, 2024", "February 09, 2024", "Feb 9, 2024"]
+        check(spark, rule, dict.fromkeys(texts, found) | dict.fromkeys(
+            ["2024-02/09", "2024-2-9 ", "2024", "30-02-2024", "02/30/2024", "Febr 9, 2024", "2024-02-09T", "2024-02-09\n"]
+        ))
+    check(spark, fn.parse_timestamp, {
+        "2024-02-09T03:04:05.000006": datetime(2024, 2, 9, 3, 4, 5, 6),
+        "2024-02-09T03:04:05": datetime(2024, 2, 9, 3, 4, 5), "2024-02-09 03:04:05": datetime(2024, 2, 9, 3, 4, 5),
+        "09-02-2024 03:04:05": datetime(2024, 2, 9, 3, 4, 5), "09-02-2024 03:04": datetime(2024, 2, 9, 3, 4),
+        "2/9/2024 3:04:05": datetime(2024, 2, 9, 3, 4, 5), "02/09/2024 03:04": datetime(2024, 2, 9, 3, 4),
+        "02/09/24 03:04": datetime(2024, 2, 9, 3, 4), "2/9/24": datetime(2024, 2, 9), "2024/02/09": datetime(2024, 2, 9),
+        "09-02-2024": datetime(2024, 2, 9), "2024-02-09": datetime(2024, 2, 9),
+        "2/9/2024": None, "2/9/24 03:04": None, "9-2-2024": None, "2024-02-09 24:00:00": None, "2024-02-09 3:04:05": None,
+    })
+
+
+def test_sentinels_are_told_by_length_only_where_it_tells(spark):
+    texts = ["N/A", "n/a", "NULL", "Null", "", "-", "Not Provided", "not provided ", "nullo", "\u212a", "k", "K", "\u0130", None]
+    for sentinels in (fixed.SENTINELS, ("k",), ("\u00e5", "-"), ()):
+        expected = {t: None if t is None or t.lower() in sentinels else t for t in texts}
+        check(spark, lambda c, s=sentinels: fn.null_if_sentinel(c, s), expected)
+
+
 def test_two_dates_are_no_date(spark):
     dates = ["2024-01-05", "2024/01/05", "1/5/2024", "1/5/24", "5-1-2024", "January 5, 2024", "Jan 5, 2024"]
     times = ["2024-01-05T10:20:30", "2024-01-05 10:20:30", "05-01-2024 10:20", "1/5/24", "2024/01/05"]
