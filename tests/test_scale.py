@@ -2,7 +2,9 @@
 
 import os
 import time
+from glob import glob
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
@@ -258,6 +260,37 @@ def test_parts_of_staged_rows_combine_their_keys_before_one_shuffle(spark, hot,
     assert area.tables["orphan-keys"].where("_orphan = 'hot'").count() == rows.select(PART).distinct().count()
 
 
+def test_staged_rows_are_written_without_dictionaries(spark, hot):
+    area = StagingArea(spark)
+    with settings(spark, SETTINGS):
+        stage_rows(untagged(hot), "rows", area)
+    group = pq.ParquetFile(glob(f"{area.path}/rows-*/*.parquet")[0]).metadata.row_group(0)
+    columns = [group.column(i) for i in range(group.num_columns)]
+    assert not any(c.has_dictionary_page for c in columns) and {c.compression for c in columns} == {"ZSTD"}
+
+
+def test_short_reasons_meet_rows_by_their_number_alone(spark, hot):
+    """As one number, which a join finds faster than two."""
+    raw = untagged(hot).withColumn("_position", F.struct(F.col("k").alias("row")))
+    with settings(spark, SETTINGS):
+        tagged = tag_table(raw, TableContract("t", "k", rules=[Unique(("k",)), NotOutlying(("v",), 1.5)]), {})
+        assert "BroadcastHashJoin [_row#" in plan(tagged)
+        assert tagged.count() == 300000
+
+
+def test_keys_of_parents_are_found_without_reasons_of_other_rules(spark, hot):
+    area, parents = StagingArea(spark), _parents(hot)
+    with settings(spark, SETTINGS):
+        rows = stage_rows(untagged(hot), "rows", area)
+        left = rows.withColumn("rejection_reason", F.when(F.col("key") == "k5", F.lit("other")))
+        lost = orphan_rows(left, "key", parents, area=area, staged=rows)
+        assert area.tables["orphan-keys"].where("_orphan = 'k5'").count() > 0
+        found = {r["k"] for r in rows.join(lost, [PART, ROW]).select("k").collect()}
+        again = orphan_rows(left, "key", parents, area=area)
+        assert found == {r["k"] for r in rows.join(again, [PART, ROW]).select("k").collect()}
+    assert found and found.isdisjoint({31, 34})  # the rows of k5
+
+
 def test_shuffle_files_of_staged_tables_are_deleted(spark, hot, monkeypatch):
     """By the next tables; else the disks hold those of all steps, as the driver rarely collects its garbage."""
     monkeypatch.setattr(staging, "RELEASE_EVERY", 0.0)
